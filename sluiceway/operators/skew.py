@@ -10,17 +10,24 @@ HEAVY_ROWS = 5_000_000
 # The list of heavy keys is broadcast, so its length is fixed. Keys beyond it are
 # still handled, by the ordinary path; each holds at most 1/10,000 of all rows.
 MAX_HEAVY_KEYS = 10_000
+# Fewer bytes than this per allowed row, by the planner's upper estimate, and the
+# table is too small to be worth a counting pass.
+_BYTES_PER_ROW = 4
 
 
 def heavy_keys(df: DataFrame, key: str, heavy_rows: int = HEAVY_ROWS) -> DataFrame | None:
     """Keys with more than ``heavy_rows`` rows, heaviest first, or None.
 
     Reads one column and counts it with map-side combine. Nulls never match in a
-    join and are treated apart by the window operator, so they are left out.
+    join and are treated apart by the window operator, so they are left out. The
+    answer only chooses between two exact ways, so skipping the pass on a small table
+    cannot change a result.
     """
+    keys = df.select(key).where(F.col(key).isNotNull())
+    if _estimated_bytes(keys) < heavy_rows * _BYTES_PER_ROW:
+        return None
     top = (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
+        keys.groupBy(key)
         .count()
         .where(F.col("count") > heavy_rows)
         .orderBy(F.desc("count"))
@@ -31,3 +38,8 @@ def heavy_keys(df: DataFrame, key: str, heavy_rows: int = HEAVY_ROWS) -> DataFra
     if not found:
         return None
     return df.sparkSession.createDataFrame(found, top.schema)
+
+
+def _estimated_bytes(df: DataFrame) -> int:
+    """The planner's size estimate, the figure its own broadcast decision rests on."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())

@@ -8,10 +8,17 @@ derivation in the other engine's SQL.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+# Schemas already read from the files' footers, by path.
+_schemas: dict[str, T.StructType] = {}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def crm_cust_info(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,33 +65,58 @@ def crm_prd_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def crm_sales_details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One sale per order line, with broken dates, amounts, prices and references."""
-    lines = _table(spark, sf_dir, "lineitem").selectExpr(
-        "l_orderkey AS k",
-        "l_partkey AS p",
-        "l_linenumber AS n",
-        "l_shipdate AS s",
-        "CAST(l_quantity AS BIGINT) AS q",
-        "CAST(floor(l_extendedprice / l_quantity) AS BIGINT) AS u",
-    )
-    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    digits = "CAST(date_format({}, 'yyyyMMdd') AS INT)"
+    """One sale per order line, with broken dates, amounts, prices and references.
+
+    Both sides grow with the data, so the join is a sort-merge join at every scale.
+    """
+    digits = "(year({0}) * 10000 + month({0}) * 100 + day({0}))"
     mixed = "(k * 7 + p * 3 + n)"
-    return lines.join(orders, lines.k == orders.o_orderkey).selectExpr(
-        "concat('SO', CAST(k AS STRING)) AS sls_ord_num",
-        """concat(CASE WHEN p % 53 = 0 THEN 'X-' ELSE 'R-' END,
-                  lpad(CAST(p div 3 AS STRING), 10, '0')) AS sls_prd_key""",
-        "CAST(CASE WHEN k % 89 = 5 THEN NULL ELSE o_custkey END AS INT) AS sls_cust_id",
-        f"""CASE WHEN k % 41 = 0 THEN 0 WHEN k % 43 = 0 THEN 5489 WHEN k % 47 = 0 THEN 20101301
+    lines = (
+        _table(spark, sf_dir, "lineitem")
+        .selectExpr(
+            "l_orderkey AS k",
+            "l_partkey AS p",
+            "l_linenumber AS n",
+            "CAST(l_shipdate AS DATE) AS s",
+            "CAST(l_quantity AS BIGINT) AS q",
+            "CAST(floor(l_extendedprice / l_quantity) AS BIGINT) AS u",
+        )
+        .selectExpr(
+            "k",
+            """concat(CASE WHEN p % 53 = 0 THEN 'X-' ELSE 'R-' END,
+                      lpad(CAST(p div 3 AS STRING), 10, '0')) AS sls_prd_key""",
+            f"{digits.format('s')} AS sls_ship_dt",
+            f"CASE WHEN k % 37 = 0 THEN NULL ELSE {digits.format('date_add(s, 7)')} END"
+            " AS sls_due_dt",
+            f"""CAST(CASE WHEN {mixed} % 7 = 2 THEN NULL WHEN {mixed} % 11 = 3 THEN -(q * u)
+                          WHEN {mixed} % 5 = 1 THEN q * u + 1 ELSE q * u END AS INT)
+                AS sls_sales""",
+            f"CAST(CASE WHEN {mixed} % 23 = 0 THEN 0 ELSE q END AS INT) AS sls_quantity",
+            f"""CAST(CASE WHEN {mixed} % 17 = 5 THEN NULL WHEN {mixed} % 19 = 6 THEN 0
+                          WHEN {mixed} % 13 = 4 THEN -u ELSE u END AS INT) AS sls_price""",
+        )
+    )
+    orders = _table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey",
+        "CAST(CASE WHEN o_orderkey % 89 = 5 THEN NULL ELSE o_custkey END AS INT) AS sls_cust_id",
+        f"""CASE WHEN o_orderkey % 41 = 0 THEN 0 WHEN o_orderkey % 43 = 0 THEN 5489
+                 WHEN o_orderkey % 47 = 0 THEN 20101301
                  ELSE {digits.format('o_orderdate')} END AS sls_order_dt""",
-        f"{digits.format('s')} AS sls_ship_dt",
-        f"""CASE WHEN k % 37 = 0 THEN NULL
-                 ELSE {digits.format('date_add(CAST(s AS DATE), 7)')} END AS sls_due_dt""",
-        f"""CAST(CASE WHEN {mixed} % 7 = 2 THEN NULL WHEN {mixed} % 11 = 3 THEN -(q * u)
-                      WHEN {mixed} % 5 = 1 THEN q * u + 1 ELSE q * u END AS INT) AS sls_sales""",
-        f"CAST(CASE WHEN {mixed} % 23 = 0 THEN 0 ELSE q END AS INT) AS sls_quantity",
-        f"""CAST(CASE WHEN {mixed} % 17 = 5 THEN NULL WHEN {mixed} % 19 = 6 THEN 0
-                      WHEN {mixed} % 13 = 4 THEN -u ELSE u END AS INT) AS sls_price""",
+    )
+    return (
+        lines.hint("merge")
+        .join(orders, lines.k == orders.o_orderkey)
+        .selectExpr(
+            "concat('SO', CAST(k AS STRING)) AS sls_ord_num",
+            "sls_prd_key",
+            "sls_cust_id",
+            "sls_order_dt",
+            "sls_ship_dt",
+            "sls_due_dt",
+            "sls_sales",
+            "sls_quantity",
+            "sls_price",
+        )
     )
 
 
