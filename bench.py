@@ -15,6 +15,7 @@ import time
 
 from pyspark.sql import SparkSession
 
+from sluiceway.operators import release_scratch
 from verification.catalogue import QUERIES
 
 
@@ -46,6 +47,7 @@ def main() -> None:
         run(name)
         seconds[name] = round(statistics.median(run(name) for _ in range(runs)), 3)
 
+    release_scratch(spark)
     print(
         json.dumps(
             {

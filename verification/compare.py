@@ -13,6 +13,7 @@ from pathlib import Path
 import duckdb
 from pyspark.sql import SparkSession
 
+from sluiceway.operators import release_scratch
 from verification.catalogue import QUERIES
 from verification.oracle import statements
 
@@ -68,6 +69,7 @@ def main(sf_dir: str, names: list[str]) -> int:
         found = differences(spark, con, name, sf_dir)
         failed += bool(found)
         print(f"{name:28s} {time.perf_counter() - begin:6.2f}s {found or 'ok'}", flush=True)
+    release_scratch(spark)
     return failed
 
 
