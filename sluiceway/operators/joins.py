@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluiceway.operators.skew import HEAVY_ROWS, heavy_keys
+from sluiceway.operators.staging import stage
 
 
 def left_join(
@@ -21,8 +22,9 @@ def left_join(
     Matches are never deduplicated. A hot key on the left is split by adaptive
     execution at run time. On the right of an outer join adaptive execution cannot
     split, so right keys above ``heavy_rows`` take a salted inner join, which is the
-    same as a left join for keys known to be on the right. Spark chooses broadcast or
-    sort-merge from the measured size of the right side.
+    same as a left join for keys known to be on the right. Their random pieces are
+    written before the join shuffles on them, so a retried task cannot draw others.
+    Spark chooses broadcast or sort-merge from the size of the right side.
     """
     condition = F.col(left_key) == F.col(right_key)
     heavy = heavy_keys(right, right_key, heavy_rows)
@@ -37,8 +39,11 @@ def left_join(
     copies = left.join(hot, on_left, "left_semi").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     )
-    pieces = right.join(hot, on_right, "left_semi").withColumn(
-        "_piece", F.floor(F.rand(seed=11) * salts).cast("int")
+    pieces = stage(
+        right.join(hot, on_right, "left_semi").withColumn(
+            "_piece", F.floor(F.rand(seed=11) * salts).cast("int")
+        ),
+        "hot_right",
     )
     salted = copies.join(pieces, condition & (F.col("_salt") == F.col("_piece")), "inner")
     return ordinary.unionByName(salted.drop("_salt", "_piece"))

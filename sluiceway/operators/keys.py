@@ -51,15 +51,15 @@ def row_key(
 ) -> DataFrame:
     """``ROW_NUMBER() OVER (ORDER BY order_by NULLS LAST)`` counted from ``base``.
 
-    The remaining columns break ties, so the numbering is reproducible. A random
-    last range column lets exact copies, whose numbers are interchangeable, spread
-    over several partitions.
+    The remaining columns break ties, so the numbering is reproducible and only exact
+    copies are interchangeable; a random last range column spreads those over several
+    partitions. It is written before it decides where a row goes: drawn again in a
+    retried task, it could send a row to two partitions or to none. The written table
+    also saves computing ``df`` a second time for the sample of the range bounds.
     """
-    ordering = [*order_by, *[c for c in df.columns if c not in order_by]]
-    spread = df.withColumn("_copy", F.rand(seed=7))
-    numbered = _numbered(
-        spread, [F.asc_nulls_last(c) for c in (*ordering, "_copy")], "_row", label
-    )
+    ordering = [*order_by, *[c for c in df.columns if c not in order_by], "_copy"]
+    source = stage(df.withColumn("_copy", F.rand(seed=7)), f"{label}-rows")
+    numbered = _numbered(source, [F.asc_nulls_last(c) for c in ordering], "_row", label)
     return numbered.select((F.col("_row") + base).alias(out), *df.columns)
 
 

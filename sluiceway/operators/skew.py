@@ -15,15 +15,18 @@ MAX_HEAVY_KEYS = 10_000
 _BYTES_PER_ROW = 4
 
 
-def heavy_keys(df: DataFrame, key: str, heavy_rows: int = HEAVY_ROWS) -> DataFrame | None:
+def heavy_keys(
+    df: DataFrame, key: str, heavy_rows: int = HEAVY_ROWS, nulls: bool = False
+) -> DataFrame | None:
     """Keys with more than ``heavy_rows`` rows, heaviest first, or None.
 
-    Reads one column and counts it with map-side combine. Nulls never match in a
-    join and are treated apart by the window operator, so they are left out. The
-    answer only chooses between two exact ways, so skipping the pass on a small table
-    cannot change a result.
+    Reads one column and counts it with map-side combine. Null never matches in a
+    join and counts as a key only if ``nulls`` is set. The answer only chooses between
+    two exact ways, so skipping the pass on a small table cannot change a result.
     """
-    keys = df.select(key).where(F.col(key).isNotNull())
+    keys = df.select(key)
+    if not nulls:
+        keys = keys.where(F.col(key).isNotNull())
     if _estimated_bytes(keys) < heavy_rows * _BYTES_PER_ROW:
         return None
     top = (

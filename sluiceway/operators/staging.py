@@ -8,6 +8,7 @@ survives the loss of any executor, prunes columns and tells the planner its size
 from __future__ import annotations
 
 import tempfile
+from threading import Lock
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sluiceway.sources.storage import delete_path
 
 _local_roots: dict[str, str] = {}
+_lock = Lock()
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -24,7 +26,10 @@ def scratch_dir(spark: SparkSession) -> str:
     if root is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = _local_roots.setdefault(app, tempfile.mkdtemp(prefix="sluiceway-"))
+        with _lock:
+            if app not in _local_roots:
+                _local_roots[app] = tempfile.mkdtemp(prefix="sluiceway-")
+        root = _local_roots[app]
     return f"{root.rstrip('/')}/sluiceway-{app}"
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluiceway.operators.keys import row_key
@@ -26,27 +26,27 @@ def next_in_key(
     are numbered over the whole table, and each row meets its successor in a join on
     consecutive numbers, which spreads evenly however large the key is.
     """
-    heavy = heavy_keys(df, key, heavy_rows)
+    heavy = heavy_keys(df, key, heavy_rows, nulls=True)
     if heavy is None:
         return _by_window(df, key, order_by, value, out)
-    # At most MAX_HEAVY_KEYS rows, hence the broadcast. Null keys stay with the light side.
-    light = df.join(F.broadcast(heavy), key, "left_anti").select(*df.columns)
-    large = df.join(F.broadcast(heavy), key, "left_semi").select(*df.columns)
-    return _by_window(light, key, order_by, value, out).unionByName(
-        _by_position(large, key, order_by, value, out)
+    # At most MAX_HEAVY_KEYS rows, hence the broadcast. A null among them matches nothing.
+    heavy = F.broadcast(heavy)
+    keyless, keyed = df.where(F.col(key).isNull()), df.where(F.col(key).isNotNull())
+    light = keyed.join(heavy, key, "left_anti").select(*df.columns)
+    large = keyed.join(heavy, key, "left_semi").select(*df.columns)
+    return (
+        _by_window(light, key, order_by, value, out)
+        .unionByName(_by_position(large, key, order_by, value, out))
+        .unionByName(keyless.withColumn(out, F.lit(None).cast(df.schema[value].dataType)))
     )
 
 
 def _by_window(
     df: DataFrame, key: str, order_by: Sequence[str], value: str, out: str
 ) -> DataFrame:
-    ordering = _total_order(df, key, order_by)
-    # Null keys would meet in one task; a group of its own for each spreads them.
-    apart = df.withColumn(
-        "_apart", F.when(F.col(key).isNull(), F.monotonically_increasing_id())
-    )
-    window = Window.partitionBy(key, "_apart").orderBy(*ordering)
-    return apart.withColumn(out, F.lead(value).over(window)).drop("_apart")
+    rest = [c for c in df.columns if c != key and c not in order_by]
+    window = Window.partitionBy(key).orderBy(*[F.asc_nulls_last(c) for c in (*order_by, *rest)])
+    return df.withColumn(out, F.when(F.col(key).isNotNull(), F.lead(value).over(window)))
 
 
 def _by_position(
@@ -61,8 +61,3 @@ def _by_position(
         .withColumn(out, F.when(F.col("_key") == F.col(key), F.col("_value")))
         .select(*df.columns, out)
     )
-
-
-def _total_order(df: DataFrame, key: str, order_by: Sequence[str]) -> list[Column]:
-    rest = [c for c in df.columns if c != key and c not in order_by]
-    return [F.asc_nulls_last(c) for c in (*order_by, *rest)]

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sluiceway.operators import release_scratch
 from sluiceway.plans import gold, quality, silver, views
+from sluiceway.plans.concurrent import together
 from sluiceway.plans.metrics import append_metrics, write_measured
 from sluiceway.plans.warehouse import LOADS
 from sluiceway.session import configure
@@ -56,10 +57,13 @@ SILVER_PREFIX, GOLD_PREFIX = "silver_", "gold_"
 def load_bronze(lake: Lake, source: Source) -> list[dict]:
     """Land the six source tables as they are."""
     return lake.record(
-        [
-            lake.write("bronze", table, load(lake.spark, source))
-            for table, load in LOADERS.items()
-        ]
+        together(
+            lake.spark,
+            [
+                lambda t=table, load=load: lake.write("bronze", t, load(lake.spark, source))
+                for table, load in LOADERS.items()
+            ],
+        )
     )
 
 
@@ -75,10 +79,15 @@ def load_silver(lake: Lake) -> list[dict]:
         "erp_px_cat_g1v2": lambda df: silver.clean_categories(df, ts),
     }
     return lake.record(
-        [
-            lake.write("silver", SILVER_PREFIX + table, clean(lake.read("bronze", table)))
-            for table, clean in cleaners.items()
-        ]
+        together(
+            lake.spark,
+            [
+                lambda t=table, clean=clean: lake.write(
+                    "silver", SILVER_PREFIX + t, clean(lake.read("bronze", t))
+                )
+                for table, clean in cleaners.items()
+            ],
+        )
     )
 
 
@@ -94,14 +103,22 @@ def load_gold(lake: Lake) -> list[dict]:
     before the sales are shuffled.
     """
     tables, ts = silver_tables(lake), lake.batch_ts
-    customer = gold.build_dim_customer(
-        tables["crm_cust_info"], tables["erp_cust_az12"], tables["erp_loc_a101"], ts
+
+    def customer() -> DataFrame:
+        return gold.build_dim_customer(
+            tables["crm_cust_info"], tables["erp_cust_az12"], tables["erp_loc_a101"], ts
+        )
+
+    def product() -> DataFrame:
+        return gold.build_dim_product(tables["crm_prd_info"], tables["erp_px_cat_g1v2"], ts)
+
+    metrics = together(
+        lake.spark,
+        [
+            lambda: lake.write("gold", GOLD_PREFIX + "dim_customer", customer()),
+            lambda: lake.write("gold", GOLD_PREFIX + "dim_product", product()),
+        ],
     )
-    product = gold.build_dim_product(tables["crm_prd_info"], tables["erp_px_cat_g1v2"], ts)
-    metrics = [
-        lake.write("gold", GOLD_PREFIX + "dim_customer", customer),
-        lake.write("gold", GOLD_PREFIX + "dim_product", product),
-    ]
     fact = gold.build_fact_sales(
         tables["crm_sales_details"],
         lake.read("gold", GOLD_PREFIX + "dim_product"),
@@ -114,20 +131,16 @@ def load_gold(lake: Lake) -> list[dict]:
 
 def load_warehouse(lake: Lake, database: jdbc.Database | None = None) -> list[dict]:
     """Full refresh of the warehouse tables, in the lake or in a database."""
-    metrics = []
-    for table, load in LOADS.items():
-        df = load(lake.read("gold", GOLD_PREFIX + table))
+
+    def write(table: str) -> dict:
+        df = LOADS[table](lake.read("gold", GOLD_PREFIX + table))
         if database is None:
-            metrics.append(lake.write("warehouse", table, df))
-        else:
-            metrics.append(
-                write_measured(
-                    df,
-                    table,
-                    lambda out, t=table: jdbc.refresh_table(out, database, f"warehouse.{t}"),
-                )
-            )
-    return lake.record(metrics)
+            return lake.write("warehouse", table, df)
+        return write_measured(
+            df, table, lambda out: jdbc.refresh_table(out, database, f"warehouse.{table}")
+        )
+
+    return lake.record(together(lake.spark, [lambda t=table: write(t) for table in LOADS]))
 
 
 def create_views(lake: Lake, database: jdbc.Database | None = None) -> dict[str, DataFrame]:

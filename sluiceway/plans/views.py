@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sluiceway.functions import clip_text
 from sluiceway.operators import row_key
 from sluiceway.operators.skew import HEAVY_ROWS
+from sluiceway.plans.concurrent import together
 from sluiceway.plans.gold import (
     CUSTOMER_NAMES,
     PRODUCT_NAMES,
@@ -52,7 +53,10 @@ def sql_dim_customers(
     """SQL variant of the customer dimension: one-based row number, copies kept."""
     merged = integrate_customers(customers, demographics, locations, heavy_rows)
     return row_key(
-        renamed(merged, CUSTOMER_NAMES), ["customer_id"], "customer_key", label="sql_customers"
+        renamed(merged, CUSTOMER_NAMES),
+        ["customer_id"],
+        "customer_key",
+        label="sql_customers",
     )
 
 
@@ -80,11 +84,19 @@ def sql_fact_sales(
 
 
 def register_gold_views(silver: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Create or replace the three SQL-variant views from the silver tables."""
-    customers = sql_dim_customers(
-        silver["crm_cust_info"], silver["erp_cust_az12"], silver["erp_loc_a101"]
+    """Create or replace the three SQL-variant views from the silver tables.
+
+    The row numbers of both dimensions are fixed, and staged, at this moment.
+    """
+    customers, products = together(
+        silver["crm_cust_info"].sparkSession,
+        [
+            lambda: sql_dim_customers(
+                silver["crm_cust_info"], silver["erp_cust_az12"], silver["erp_loc_a101"]
+            ),
+            lambda: sql_dim_products(silver["crm_prd_info"], silver["erp_px_cat_g1v2"]),
+        ],
     )
-    products = sql_dim_products(silver["crm_prd_info"], silver["erp_px_cat_g1v2"])
     views = {
         "dim_customers": customers,
         "dim_products": products,

@@ -126,6 +126,18 @@ def test_keys_need_no_single_task_window(spark):
     assert "SinglePartition" not in plan
 
 
+def test_no_random_value_decides_where_a_row_is_sent(spark):
+    """A retried task would draw other values than the first attempt did."""
+    rows = spark.createDataFrame([("a", 1), ("a", 1), (None, 2)], "k string, v int")
+    plans = [
+        explained(next_in_key(rows, "k", ["v"], "v", "n", heavy_rows))
+        for heavy_rows in (10**9, 1)
+    ] + [explained(left_join(rows, rows.toDF("rk", "rv"), "k", "rk", 1))]
+    for plan in plans:
+        assert "rand(" not in plan
+        assert "monotonically_increasing_id" not in plan
+
+
 def versions(n=400, keys=5, seed=1):
     rng = random.Random(seed)
     rows = [

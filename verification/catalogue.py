@@ -13,6 +13,7 @@ from sluiceway import configure
 from sluiceway.operators import stage
 from sluiceway.operators.staging import scratch_dir
 from sluiceway.plans import gold, quality, silver, views, warehouse
+from sluiceway.plans.concurrent import together
 from sluiceway.plans.metrics import table_metrics
 from sluiceway.schemas import AUDIT_COLUMN, BRONZE
 from sluiceway.sources.files import CSV_OPTIONS, read_delimited
@@ -87,8 +88,13 @@ def _fact_sales(
 
 def _gold_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The star schema, dimensions written once as in a gold load."""
-    customers = stage(_dim_customer(spark, sf_dir), "dim_customer")
-    products = stage(_dim_product(spark, sf_dir), "dim_product")
+    customers, products = together(
+        spark,
+        [
+            lambda: stage(_dim_customer(spark, sf_dir), "dim_customer"),
+            lambda: stage(_dim_product(spark, sf_dir), "dim_product"),
+        ],
+    )
     return {
         "dim_customer": customers,
         "dim_product": products,
