@@ -3,7 +3,10 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as contract
-from verification.compare import connect, differences
+from sluiceway.plans import gold, silver, views
+from sluiceway.schemas import AUDIT_COLUMN
+from verification import catalogue
+from verification.compare import compare, connect, differences
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -27,3 +30,32 @@ def test_entry(spark):
     df = contract.entry(spark)
     assert df.columns[:3] == ["order_number", "product_key", "customer_key"]
     assert df.count() > 0
+
+
+@pytest.fixture
+def silver_tables(spark):
+    return {table: catalogue._silver(spark, SF_DIR, table) for table in catalogue.SHAPES}
+
+
+def test_hot_key_paths_give_the_same_results(spark, con, silver_tables):
+    """Every product and every partner counts as hot; results must not change."""
+    raw = catalogue.SHAPES["crm_prd_info"](spark, SF_DIR)
+    split = silver.clean_products(raw, catalogue.BATCH_TS, heavy_rows=0)
+    assert compare(con, "silver_products", split.drop(AUDIT_COLUMN)) == ""
+    people = [silver_tables[t] for t in ("crm_cust_info", "erp_cust_az12", "erp_loc_a101")]
+    dim = gold.build_dim_customer(*people, catalogue.BATCH_TS, heavy_rows=0)
+    assert compare(con, "dim_customer", dim.drop(AUDIT_COLUMN)) == ""
+    numbered = views.sql_dim_customers(*people, heavy_rows=0)
+    assert compare(con, "view_dim_customers", numbered) == ""
+
+
+def test_results_without_broadcast(spark, con):
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {n: spark.conf.get(n, None) for n in names}
+    for n in names:
+        spark.conf.set(n, "-1")
+    try:
+        assert differences(spark, con, "fact_sales", SF_DIR) == ""
+    finally:
+        for n, value in before.items():
+            spark.conf.unset(n) if value is None else spark.conf.set(n, value)

@@ -11,7 +11,7 @@ from collections import Counter
 from pathlib import Path
 
 import duckdb
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from sluiceway.operators import release_scratch
 from verification.catalogue import QUERIES
@@ -35,9 +35,8 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def differences(spark: SparkSession, con: duckdb.DuckDBPyConnection, name: str, sf_dir: str) -> str:
-    """Empty when columns, types and the multiset of rows agree."""
-    df = QUERIES[name](spark, sf_dir)
+def compare(con: duckdb.DuckDBPyConnection, name: str, df: DataFrame) -> str:
+    """Empty when columns, types and the multiset of rows agree with the query's SQL."""
     columns = sorted(df.columns)
     mine = {c: TYPE_NAMES[t] for c, t in df.dtypes}
     expected = con.sql(statements()[name])
@@ -49,11 +48,16 @@ def differences(spark: SparkSession, con: duckdb.DuckDBPyConnection, name: str,
     if got == want:
         return ""
     return (
-        f"{(got - want).total()} unexpected rows, e.g. {list((got - want))[:3]}; "
-        f"{(want - got).total()} missing rows, e.g. {list((want - got))[:3]}"
+        f"{(got - want).total()} unexpected rows, e.g. {list(got - want)[:3]}; "
+        f"{(want - got).total()} missing rows, e.g. {list(want - got)[:3]}"
     )
 
 
+def differences(spark: SparkSession, con: duckdb.DuckDBPyConnection, name: str, sf_dir: str) -> str:
+    """Run one query of the catalogue and compare it."""
+    return compare(con, name, QUERIES[name](spark, sf_dir))
+
+
 def main(sf_dir: str, names: list[str]) -> int:
     spark = (
         SparkSession.builder.master("local[8]")
