@@ -10,13 +10,20 @@ from pyspark.sql import types as T
 from sluiceway.schemas import sql_columns
 
 
-def create_database(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
-
-
-def create_tables(spark: SparkSession, database: str, tables: Mapping[str, T.StructType]) -> None:
+def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """Create the database if it does not exist, by default in the warehouse folder."""
+    place = "" if location is None else f" LOCATION '{location}'"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{place}")
+
+
+def create_tables(
+    spark: SparkSession,
+    database: str,
+    tables: Mapping[str, T.StructType],
+    location: str | None = None,
+) -> None:
     """Drop and create empty Parquet tables from their contracts."""
-    create_database(spark, database)
+    create_database(spark, database, location)
     for table, schema in tables.items():
         spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{table}`")
         spark.sql(

@@ -15,7 +15,8 @@ from sluiceway.operators.staging import scratch_dir
 from sluiceway.plans import gold, quality, silver, views, warehouse
 from sluiceway.plans.concurrent import together
 from sluiceway.plans.metrics import table_metrics
-from sluiceway.schemas import AUDIT_COLUMN, BRONZE
+from sluiceway.schemas import AUDIT_COLUMN, BRONZE, WAREHOUSE
+from sluiceway.sources.catalog import create_tables, refresh_catalog_table
 from sluiceway.sources.files import CSV_OPTIONS, read_delimited
 from sluiceway.sources.lake import (
     lake_path,
@@ -211,6 +212,17 @@ def _warehouse_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path)
 
 
+def _warehouse_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product dimension loaded twice into a table created from its contract."""
+    location = _new_lake(spark)
+    database = location.rsplit("/", 1)[1].replace("-", "_")
+    create_tables(spark, database, {"dim_product": WAREHOUSE["dim_product"]}, location)
+    loaded = warehouse.warehouse_dim_product(stage(_dim_product(spark, sf_dir), "dim_product"))
+    for _ in range(2):
+        refresh_catalog_table(loaded, database, "dim_product")
+    return spark.table(f"{database}.dim_product")
+
+
 _METRIC_NAMES = {
     "customers": "crm_cust_info",
     "products": "crm_prd_info",
@@ -258,5 +270,6 @@ QUERIES: dict[str, Query] = {
     "lake_roundtrip": _lake_roundtrip,
     "lake_partition_overwrite": _lake_partition_overwrite,
     "warehouse_replace": _warehouse_replace,
+    "warehouse_refresh": _warehouse_refresh,
     "run_metrics": _run_metrics,
 }

@@ -400,6 +400,7 @@ _QUERIES: dict[str, str] = {
                     || CAST(year(sls_ship_dt) + 1 AS VARCHAR) || '0101000000' AS window_id
         FROM sales""",
     "warehouse_replace": "SELECT customer_key, customer_id, country FROM wh_dim_customer",
+    "warehouse_refresh": "SELECT * FROM wh_dim_product",
     "run_metrics": _METRICS,
 }
 
