@@ -3,10 +3,11 @@
 from sluiceway.operators.joins import left_join
 from sluiceway.operators.keys import dense_key, row_key
 from sluiceway.operators.latest import keep_latest
-from sluiceway.operators.staging import release_scratch, stage
+from sluiceway.operators.staging import Scratch, release_scratch, stage
 from sluiceway.operators.versions import next_in_key
 
 __all__ = [
+    "Scratch",
     "dense_key",
     "keep_latest",
     "left_join",

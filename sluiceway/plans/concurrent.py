@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -22,4 +23,6 @@ def together(
     the cluster fills the tail of one job with tasks of the next."""
     inherit = inheritable_thread_target(spark)
     with ThreadPoolExecutor(workers) as pool:
-        return [f.result() for f in [pool.submit(inherit(t)) for t in tasks]]
+        # Each task gets a copy of the caller's context, and with it the staging scope.
+        running = [pool.submit(copy_context().run, inherit(t)) for t in tasks]
+        return [f.result() for f in running]

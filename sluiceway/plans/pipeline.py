@@ -8,7 +8,7 @@ from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluiceway.operators import release_scratch
+from sluiceway.operators import Scratch
 from sluiceway.plans import gold, quality, silver, views
 from sluiceway.plans.concurrent import together
 from sluiceway.plans.metrics import append_metrics, write_measured
@@ -162,10 +162,14 @@ def run_tests(lake: Lake, database: jdbc.Database | None = None) -> DataFrame:
 
 
 def run_all(lake: Lake, source: Source, database: jdbc.Database | None = None) -> DataFrame:
-    """Bronze to warehouse, then the test report."""
-    load_bronze(lake, source)
-    load_silver(lake)
-    load_gold(lake)
-    load_warehouse(lake, database)
-    release_scratch(lake.spark)
+    """Bronze to warehouse, then the test report.
+
+    What the layers stage lives in a folder of this run and goes with it, also if it fails;
+    runs at the same time and views registered before keep theirs.
+    """
+    with Scratch(lake.spark):
+        load_bronze(lake, source)
+        load_silver(lake)
+        load_gold(lake)
+        load_warehouse(lake, database)
     return run_tests(lake, database)

@@ -86,7 +86,8 @@ def sql_fact_sales(
 def register_gold_views(silver: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """Create or replace the three SQL-variant views from the silver tables.
 
-    The row numbers of both dimensions are fixed, and staged, at this moment.
+    The row numbers of both dimensions are fixed, and staged, at this moment, in the caller's
+    scope or, outside of any, with the application. No other run removes them.
     """
     customers, products = together(
         silver["crm_cust_info"].sparkSession,
