@@ -97,4 +97,28 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
 FROM planned
 """
 
-STATEMENTS: dict[str, str] = {"op8_quality_rules": _QUALITY, "op9_mixing": _MIX}
+# The SHA-1 comes as hexadecimal digits; ten of them are eight letters of base 32.
+_ARCHIVE = """
+WITH pages_read AS (
+    SELECT page_id, coalesce(html, '') AS payload FROM pages
+), digests AS (
+    SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, sha1(payload) AS d
+    FROM pages_read
+), largest AS (
+    SELECT *, max(page_id) OVER (PARTITION BY d, payload_bytes) AS top FROM digests
+)
+SELECT page_id, payload_bytes,
+    list_aggregate([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        CAST((CAST('0x' || substr(d, CAST(i // 8 * 10 + 1 AS INTEGER), 10) AS BIGINT)
+              >> CAST(35 - 5 * (i % 8) AS INTEGER)) & 31 AS INTEGER) + 1, 1)
+        FOR i IN range(32)], 'string_agg', '') AS payload_digest,
+    CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
+FROM largest
+"""
+
+STATEMENTS: dict[str, str] = {
+    "op3_warc": _ARCHIVE,
+    "op8_quality_rules": _QUALITY,
+    "op9_mixing": _MIX,
+}

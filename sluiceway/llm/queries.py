@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,12 +12,16 @@ from pyspark.sql import functions as F
 from sluiceway.llm import (
     bpe,
     mixing,
+    near_duplicates,
+    neighbours,
     pii,
     quality_rules,
     secret_scan,
     token_counts,
     toxicity,
+    warc,
 )
+from sluiceway.operators.staging import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +34,23 @@ def _count(spans: str, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
 
+def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, "vec_id", "embedding", F.col("vec_id") % 50 == 0, k=5)
+
+
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.classify(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{scratch_dir(spark)}/warc-{uuid4().hex}"
+    pages = table(spark, sf_dir, "pages")
+    manifest = warc.write_archive(warc.describe(pages, "page_id", "url", "html"), folder)
+    read = warc.read_archive(manifest, folder, payloads=False)
+    return read.drop("payload", "url")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -88,6 +110,9 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_nearest": op1_nearest,
+    "op2_near_duplicates": op2_near_duplicates,
+    "op3_warc": op3_warc,
     "op4_token_counts": op4_token_counts,
     "op5_pii": op5_pii,
     "op6_bpe_codec": op6_bpe_codec,
