@@ -33,9 +33,12 @@ LEAST_TEXTS = 3
 #: Buckets in the model at most: those whose presence tells most about the label.
 MODEL_TERMS = 6000
 #: Letters of the word beginnings that are terms of their own.
-BEGINNINGS = (4, 6, 8)
+BEGINNINGS = (4, 5, 6, 8)
+#: Chance, over all buckets of the sample together, that a term without any bearing on the
+#: label enters the model. Without such a bound thousands of rare words are learned by heart.
+FALSE_TERMS = 1.0
 
-_EPOCHS = 12
+_EPOCHS = 40
 _BATCH = 128
 _RATE = 0.05
 _SHRINK = 1e-4
@@ -86,7 +89,12 @@ class Machine:
 
 
 def _telling(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
-    """Buckets with the largest likelihood-ratio statistic of presence against label."""
+    """Buckets whose presence bears on the label, by likelihood-ratio test, best ones first.
+
+    The statistic is chi-square with one degree of freedom, whose tail beyond ``x`` is below
+    ``exp(-x / 2)``; so beyond ``2 log(tested / FALSE_TERMS)`` fewer than ``FALSE_TERMS`` of
+    the tested buckets get in by chance.
+    """
 
     def counts(value: int) -> np.ndarray:
         chosen = [r for r, label in zip(rows, labels) if label == value]
@@ -103,8 +111,9 @@ def _telling(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
                 expected = row * texts[value] / max(1, len(rows))
                 statistic += np.where(seen > 0, 2 * seen * np.log(seen / expected), 0.0)
     statistic[total < LEAST_TEXTS] = 0.0
+    tested = max(1, int((total >= LEAST_TEXTS).sum()))
     best = np.argsort(-statistic, kind="stable")[:MODEL_TERMS]
-    return np.sort(best[statistic[best] > 0])
+    return np.sort(best[statistic[best] > 2 * np.log(max(1.0, tested / FALSE_TERMS))])
 
 
 def fit(rows: list[np.ndarray], labels: np.ndarray, seed: int = 17) -> Machine:
