@@ -21,23 +21,22 @@ def next_in_key(
 ) -> DataFrame:
     """Append ``LEAD(value) OVER (PARTITION BY key ORDER BY order_by NULLS LAST)``.
 
-    Rows with a null key belong to no group and get null. The remaining columns break
-    ties. Ordinary keys take the plain window: one shuffle. Keys above ``heavy_rows``
+    Rows with a null key belong to no group, get null and are not shuffled, so they never
+    meet in one task. The remaining columns break ties. Ordinary keys take the plain window: one shuffle. Keys above ``heavy_rows``
     are numbered over the whole table, and each row meets its successor in a join on
     consecutive numbers, which spreads evenly however large the key is.
     """
-    heavy = heavy_keys(df, key, heavy_rows, nulls=True)
-    if heavy is None:
-        return _by_window(df, key, order_by, value, out)
-    # At most MAX_HEAVY_KEYS rows, hence the broadcast. A null among them matches nothing.
-    heavy = F.broadcast(heavy)
     keyless, keyed = df.where(F.col(key).isNull()), df.where(F.col(key).isNotNull())
+    alone = keyless.withColumn(out, F.lit(None).cast(df.schema[value].dataType))
+    heavy = heavy_keys(keyed, key, heavy_rows)
+    if heavy is None:
+        return _by_window(keyed, key, order_by, value, out).unionByName(alone)
     light = keyed.join(heavy, key, "left_anti").select(*df.columns)
     large = keyed.join(heavy, key, "left_semi").select(*df.columns)
     return (
         _by_window(light, key, order_by, value, out)
         .unionByName(_by_position(large, key, order_by, value, out))
-        .unionByName(keyless.withColumn(out, F.lit(None).cast(df.schema[value].dataType)))
+        .unionByName(alone)
     )
 
 
@@ -46,7 +45,7 @@ def _by_window(
 ) -> DataFrame:
     rest = [c for c in df.columns if c != key and c not in order_by]
     window = Window.partitionBy(key).orderBy(*[F.asc_nulls_last(c) for c in (*order_by, *rest)])
-    return df.withColumn(out, F.when(F.col(key).isNotNull(), F.lead(value).over(window)))
+    return df.withColumn(out, F.lead(value).over(window))
 
 
 def _by_position(

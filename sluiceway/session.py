@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-_SPARK_DEFAULT_BROADCAST = 10 * 1024 * 1024
+_BROADCAST = "spark.sql.autoBroadcastJoinThreshold"
 BROADCAST_LIMIT = 64 * 1024 * 1024
 
 _SETTINGS = {
@@ -30,7 +30,6 @@ def configure(spark: SparkSession) -> SparkSession:
     # Key lookups against dimensions are worth a larger broadcast than Spark's
     # default, because the other side is the fact table. Spark still checks the size
     # of the side before it broadcasts. A limit chosen by the operator is kept.
-    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    if limit.rstrip("bB") == str(_SPARK_DEFAULT_BROADCAST):
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(BROADCAST_LIMIT))
+    if _BROADCAST not in spark.conf.getAll:
+        spark.conf.set(_BROADCAST, str(BROADCAST_LIMIT))
     return spark

@@ -180,13 +180,30 @@ def test_next_in_key_with_exact_copies_of_a_hot_row(spark):
 
 def test_heavy_keys(spark):
     df = spark.createDataFrame([("a",)] * 5 + [("b",)] * 2 + [(None,)] * 9, "k string")
-    assert [r.k for r in heavy_keys(df, "k", 1).collect()] == ["a", "b"]
+    assert sorted(map(tuple, heavy_keys(df, "k", 1).collect())) == [("a", 5), ("b", 2)]
     assert [r.k for r in heavy_keys(df, "k", 2).collect()] == ["a"]
     assert heavy_keys(df, "k", 5) is None
-    # Small by the planner's own estimate: not even counted.
     assert heavy_keys(df, "k") is None
 
 
+def test_hot_keys_are_found_in_a_table_that_compresses_to_nothing(spark, tmp_path):
+    rows = spark.range(200_000).selectExpr("'hot' AS k", "0 AS v").coalesce(1)
+    rows.write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    assert [tuple(r) for r in heavy_keys(df, "k", 100_000).collect()] == [("hot", 200_000)]
+    assert "_row" in explained(next_in_key(df, "k", ["v"], "v", "n", 100_000))
+    left = spark.createDataFrame([("hot",)], "lk string")
+    assert "_salt" in explained(left_join(left, df, "lk", "k", 100_000))
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "1m")
+    try:
+        plan = explained(left_join(left, df, "lk", "k"))
+    finally:
+        spark.conf.set(name, before)
+    assert "SortMergeJoin" in plan
+
+
 @pytest.mark.parametrize("heavy_rows", [10**9, 5, 0], ids=["plain", "hot right", "all salted"])
 def test_left_join_keeps_every_match_and_every_left_row(spark, heavy_rows):
     left = [("hot", i) for i in range(4)] + [("one", 10), ("none", 11), (None, 12)]
@@ -197,7 +214,6 @@ def test_left_join_keeps_every_match_and_every_left_row(spark, heavy_rows):
         "k",
         "rk",
         heavy_rows,
-        salts=3,
     )
     expected = [(k, i, rk, v) for k, i in left for rk, v in right if k is not None and k == rk]
     expected += [(k, i, None, None) for k, i in left if k in ("none", None)]
