@@ -9,10 +9,12 @@ and too many words in five-word windows that occur again.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.llm.texts import quoted
+from sluiceway.llm.texts import fresh, quoted
 
 #: White space of the word rule: space, and tab to carriage return.
 _SPACE = r"[\x20\x09-\x0D]+"
@@ -33,9 +35,26 @@ _BOILERPLATE = (
     r"(?i)licensed under|all rights reserved|copyright \(?c?\)?|terms of (use|service)"
     r"|privacy policy|cookies?\b|subscribe to|sign up for|click here|powered by|javascript"
 )
+# In lower case; a text that matches the pattern above holds one of them.
+_PHRASES = (
+    "licensed under",
+    "all rights reserved",
+    "copyright ",
+    "terms of ",
+    "privacy policy",
+    "cookie",
+    "subscribe to",
+    "sign up for",
+    "click here",
+    "powered by",
+    "javascript",
+)
 # Words that end in one of these runs, which stand where punctuation should.
 _DECORATED = r"(##+|\*\*+|\$\$+|%%+|&&+|\|\|+|<<+|>>+|!!+|\?\?+)([\x20\x09-\x0D]|\z)"
 _NAVIGATION = r"[\x20\x09-\x0D](\||»|›|>|·|•)([\x20\x09-\x0D]|\z)"
+# Without one of these a line cannot match the two above; cheap to look for.
+_RUNS = r"([#*$%&|<>!?])\1"
+_BARS = "[|»›>·•]"
 _SENTENCE_END = r"[.!?…:;\"'”»)。！？][\x20\x09-\x0D]*\z"
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -64,64 +83,79 @@ def word_chars(text: Column) -> Column:
     return F.length(F.regexp_replace(text, _SPACE, ""))
 
 
-def repeated_words(tokens: Column, size: Column) -> Column:
-    """Words covered by five-word windows that occur twice or more, the first included.
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)`` with ``value`` bound to a variable, so that it is computed once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _windows(tokens: Column, size: Column) -> Column:
+    """A 64-bit hash of the words of every five-word window, in order."""
+    count = F.greatest(size - (WINDOW - 1), F.lit(0))
+
+    def shifted(hashes: Column) -> Column:
+        parts = [F.slice(hashes, k + 1, count) for k in range(WINDOW)]
+        return F.transform(F.arrays_zip(*parts), lambda w: F.xxhash64(w))
+
+    return _let(F.transform(tokens, lambda w: F.xxhash64(w)), shifted)
+
 
-    Windows are compared by a 64-bit hash of their words. They are sorted with their place,
-    so equal ones are neighbours; the places of those are sorted again, and each covers the
-    words up to the next, five at most.
+def _covered(windows: Column) -> Column:
+    """Words covered by windows that occur twice or more, the first included.
+
+    Most texts repeat no window, and the number of distinct ones says so. Otherwise windows are
+    sorted with their place, so equal ones are neighbours; the places of those are sorted again,
+    and each covers the words up to the next, five at most.
     """
-    last = F.greatest(size - WINDOW, F.lit(-1))
-    windows = F.when(
-        last >= 0,
-        F.array_sort(
-            F.transform(
-                F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
-                lambda i: F.struct(
-                    F.xxhash64(*[F.get(tokens, i + k) for k in range(WINDOW)]).alias("h"),
-                    i.alias("i"),
-                ),
-            )
-        ),
-    ).otherwise(F.array().cast("array<struct<h:bigint,i:int>>"))
-    return windows
-
-
-def _covered(sorted_windows: Column) -> Column:
-    """From windows sorted by hash and place to the number of words that repeated ones cover."""
-    marked = F.filter(
-        sorted_windows,
-        lambda w, at: (w["h"] == F.get(sorted_windows, at - 1)["h"])
-        | (w["h"] == F.get(sorted_windows, at + 1)["h"]),
+    placed = F.sort_array(
+        F.transform(windows, lambda h, at: F.struct(h.alias("h"), at.alias("i")))
     )
-    places = F.array_sort(F.transform(marked, lambda w: w["i"]))
     begin = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(-WINDOW).alias("last"))
-    return F.aggregate(
-        places,
-        begin,
-        lambda acc, at: F.struct(
-            (acc["n"] + F.least(at - acc["last"], F.lit(WINDOW))).alias("n"), at.alias("last")
-        ),
-        lambda acc: acc["n"],
-    )
+
+    def repeated(sorted_windows: Column) -> Column:
+        marked = F.filter(
+            sorted_windows,
+            lambda w, at: (w["h"] == F.get(sorted_windows, at - 1)["h"])
+            | (w["h"] == F.get(sorted_windows, at + 1)["h"]),
+        )
+        return F.aggregate(
+            F.sort_array(F.transform(marked, lambda w: w["i"])),
+            begin,
+            lambda acc, at: F.struct(
+                (acc["n"] + F.least(at - acc["last"], F.lit(WINDOW))).alias("n"), at.alias("last")
+            ),
+            lambda acc: acc["n"],
+        )
+
+    unique = F.size(F.array_distinct(windows)) == F.size(windows)
+    return F.when(unique, F.lit(0)).otherwise(_let(placed, repeated)).cast("long")
 
 
-def line_fails(line: Column) -> Column:
-    """Whether a line with words is navigation, boilerplate, symbols, shouting or a fragment."""
-    n = F.regexp_count(line, F.lit(_WORD))
-    navigation = F.regexp_count(line, F.lit(_NAVIGATION)) * 5 >= n
-    decorated = F.regexp_count(line, F.lit(_DECORATED)) * 2 >= n
-    shouting = (n >= _JUDGED_WORDS) & line.rlike(r"\p{Lu}") & ~line.rlike(r"\p{Ll}")
+def line_fails(line: Column, n: Column, phrases: Column) -> Column:
+    """Whether a line of ``n`` words is navigation, boilerplate, symbols, shouting or a fragment.
+
+    A line without words passes. ``phrases`` is false if no boilerplate phrase can be in the line.
+    """
+    navigation = line.rlike(_BARS) & (F.regexp_count(line, F.lit(_NAVIGATION)) * 5 >= n)
+    decorated = line.rlike(_RUNS) & (F.regexp_count(line, F.lit(_DECORATED)) * 2 >= n)
+    shouting = ~line.rlike(r"\p{Ll}") & line.rlike(r"\p{Lu}")
     fragment = (n < _LONG_LINE) & ~line.rlike(_SENTENCE_END)
-    return (
-        ((n >= 2) & navigation)
-        | ((n >= _JUDGED_WORDS) & decorated)
-        | shouting
-        | line.rlike(_BOILERPLATE)
-        | fragment
+    return (n > 0) & (
+        fragment
+        | ((n >= 2) & navigation)
+        | ((n >= _JUDGED_WORDS) & (decorated | shouting))
+        | (phrases & line.rlike(_BOILERPLATE))
     )
 
 
+def _may_hold_phrases(text: Column) -> Column:
+    """False only for texts that hold no boilerplate phrase, whatever its case."""
+    lowered = F.lower(text)
+    found = F.lit(False)
+    for phrase in _PHRASES:
+        found = found | F.contains(lowered, F.lit(phrase))
+    return found
+
+
 def judge(df: DataFrame, text: str) -> DataFrame:
     """``df`` with the figures of every text, the verdict ``kept`` and the text ``cleaned``.
 
@@ -136,40 +170,67 @@ def judge(df: DataFrame, text: str) -> DataFrame:
     empty. Rows are not moved, so repeated rows stay and an empty table stays empty. Input
     columns named like an output column are replaced.
     """
-    whole = F.coalesce(F.col(quoted(text)).cast("string"), F.lit(""))
+    names = fresh(df, "text", "lines", "words", "n", "windows", "repeat", "judged", "found")
+    whole, lines, tokens, count, windows, repeat, judged, found = names
+    kept = [F.col(quoted(c)) for c in df.columns if c not in FIELDS]
+    value = F.coalesce(F.col(quoted(text)).cast("string"), F.lit(""))
+    full = F.filter(judged, lambda line: line["n"] > 0)
+    left = F.filter(judged, lambda line: ~line["fails"])
     staged = (
-        df.withColumn("_text", whole)
-        .withColumn("_lines", F.split(F.col("_text"), "\n"))
-        .withColumn("_words", words(F.col("_text")))
-        .withColumn("_n", F.size("_words"))
-        .withColumn("_sorted", repeated_words(F.col("_words"), F.col("_n")))
-        .withColumn("_repeat", _covered(F.col("_sorted")))
-        .withColumn("_full", F.filter("_lines", lambda line: line.rlike(_WORD)))
+        df.select(*kept, value.alias(whole))
+        .withColumn(lines, F.split(F.col(whole), "\n"))
+        .withColumn(tokens, words(F.col(whole)))
+        .withColumn(count, F.size(tokens))
+        .withColumn(windows, _windows(F.col(tokens), F.col(count)))
+        .withColumn(repeat, _covered(F.col(windows)))
         .withColumn(
-            "_left",
-            F.filter(
-                "_lines", lambda line: ~(line.rlike(_WORD) & line_fails(line))
+            judged,
+            F.transform(
+                lines,
+                lambda line: F.struct(
+                    line.alias("line"), F.regexp_count(line, F.lit(_WORD)).alias("n")
+                ),
             ),
         )
-        .withColumn("_cleaned", F.array_join("_left", "\n"))
-        .withColumn("_chars", word_chars(F.col("_text")))
-        .withColumn("_kept_chars", word_chars(F.col("_cleaned")))
+        .withColumn(
+            judged,
+            _let(
+                _may_hold_phrases(F.col(whole)),
+                lambda phrases: F.transform(
+                    judged,
+                    lambda line: F.struct(
+                        line["line"].alias("line"),
+                        line["n"].alias("n"),
+                        line_fails(line["line"], line["n"], phrases).alias("fails"),
+                    ),
+                ),
+            ),
+        )
+        .withColumn(lines, F.transform(full, lambda line: line["line"]))
+        .withColumn(windows, F.array_join(F.transform(left, lambda line: line["line"]), "\n"))
+        .withColumn(found, F.size(F.filter(judged, lambda line: line["fails"])))
+        .withColumn(tokens, F.length(F.array_join(tokens, "")))
     )
-    n = F.col("_n").cast("long")
-    base_failed = (n < LEAST_WORDS) | (100 * F.col("_repeat") > MOST_REPEATED_PERCENT * n)
-    enough = F.col("_kept_chars") >= F.col("_chars") * LEAST_LEFT
+    n, chars, cleaned, removed = F.col(count).cast("long"), *map(F.col, (tokens, windows, found))
+    kept_chars = F.when(removed == 0, chars).otherwise(word_chars(cleaned))
+    base_failed = (n < LEAST_WORDS) | (100 * F.col(repeat) > MOST_REPEATED_PERCENT * n)
     values = {
         "n_words": n,
-        "word_chars": F.col("_chars").cast("long"),
-        "n_symbols": F.regexp_count("_text", F.lit(_SYMBOLS)).cast("long"),
-        "n_dup_lines": (F.size("_full") - F.size(F.array_distinct("_full"))).cast("long"),
-        "n_repeat_words": F.col("_repeat"),
-        "n_lines": F.size("_full").cast("long"),
-        "n_lines_removed": (F.size("_lines") - F.size("_left")).cast("long"),
-        "kept_chars": F.col("_kept_chars").cast("long"),
+        "word_chars": chars.cast("long"),
+        "n_symbols": F.regexp_count(whole, F.lit(_SYMBOLS)).cast("long"),
+        "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
+        "n_repeat_words": F.col(repeat),
+        "n_lines": F.size(lines).cast("long"),
+        "n_lines_removed": removed.cast("long"),
+        "kept_chars": kept_chars.cast("long"),
         "base_failed": base_failed,
-        "kept": ~base_failed & enough,
-        "cleaned": F.col("_cleaned"),
+        "cleaned": cleaned,
     }
-    kept = [F.col(quoted(c)) for c in df.columns if c not in FIELDS]
-    return staged.select(*kept, *[values[f].alias(f) for f in FIELDS])
+    figures = F.struct(*[v.alias(f) for f, v in values.items()])
+    kept_columns = [F.col(quoted(c)) for c in df.columns if c not in FIELDS]
+    # A generator is the one step that filters on its output are not pushed through: pushed
+    # down, every named step would be put into the condition again and again.
+    one = staged.select(*kept_columns, F.inline_outer(F.array(figures)))
+    enough = F.col("kept_chars") >= F.col("word_chars") * LEAST_LEFT
+    judged_rows = one.withColumn("kept", ~F.col("base_failed") & enough)
+    return judged_rows.select(*kept_columns, *FIELDS)

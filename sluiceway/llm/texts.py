@@ -17,7 +17,6 @@ Worker = Callable[[list[str]], dict[str, list[Any]]]
 
 # Texts turned into Python objects at a time; bounds a task's memory besides the batch.
 _SLICE_BYTES = 4 << 20
-_RESULT = "_text_result"
 
 _BATCHES = {
     # Setting, Spark's default, and the value used instead: few rows and bytes a batch, as
@@ -73,8 +72,18 @@ def with_text_result(
     bounded_batches(df.sparkSession)
     run = text_udf(make, fields)
     kept = [F.col(quoted(c)) for c in df.columns if c not in fields.names]
-    held = df.select("*", run(F.col(quoted(text)).cast("string")).alias(_RESULT))
-    return held.select(*kept, *[F.col(_RESULT)[f].alias(f) for f in fields.names])
+    (result,) = fresh(df, "text_result")
+    held = df.select("*", run(F.col(quoted(text)).cast("string")).alias(result))
+    return held.select(*kept, *[F.col(result)[f].alias(f) for f in fields.names])
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names like ``names`` that ``df`` does not have, whatever the case of its own."""
+    taken = {c.lower() for c in df.columns}
+    prefix = "_"
+    while any((prefix + name).lower() in taken for name in names):
+        prefix += "_"
+    return [prefix + name for name in names]
 
 
 def quoted(name: str) -> str:
