@@ -117,8 +117,117 @@ SELECT page_id, payload_bytes,
 FROM largest
 """
 
+def _crc32(value: str) -> str:
+    """CRC-32 of an ASCII text, bit by bit."""
+    return f"""xor(list_reduce(
+        list_concat([4294967295], list_transform(
+            range(1, length({value}) + 1), lambda p: CAST(ascii({value}[p]) AS BIGINT))),
+        lambda c, b: list_reduce(list_concat([xor(c, b)], range(8)),
+            lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+
+
+def _edited(state: str, cost: str, edits: str, line: str = "''") -> str:
+    """A state's cheapest edits with more appended; null where the state cannot be reached."""
+    return (
+        f"CASE WHEN {state} IS NOT NULL THEN {{'c': {state}.c + {cost}, "
+        f"'a': {state}.a || '{edits}', 'o': {state}.o || {line}}} END"
+    )
+
+
+def _cheapest(*candidates: str) -> str:
+    return f"list_min([{', '.join(candidates)}])"
+
+
+def _kept(state: str, initial: str, role: str | None) -> str:
+    """Candidates that keep the row or give it ``role`` after ``state``."""
+    stays = "(NOT blank AND NOT duplicate)"
+    keep = _edited(state, "cut", "K", "(chr(10) || role || ':' || text)")
+    found = f"CASE WHEN {stays} AND role[1] = '{initial}' THEN {keep} END"
+    if role is not None:
+        given = _edited(state, "(2 + cut)", "R", f"(chr(10) || '{role}:' || text)")
+        found += f", CASE WHEN {stays} THEN {given} END"
+    return found
+
+
+_USER, _ASSISTANT = "(chr(10) || 'user:')", "(chr(10) || 'assistant:')"
+_PAIR = "(chr(10) || 'user:' || chr(10) || 'assistant:')"
+
+_REPAIR = rf"""
+WITH RECURSIVE keyed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           coalesce(CAST(conv_id AS VARCHAR), ' ') || ':'
+               || coalesce(CAST(turn AS VARCHAR), ' ') AS k
+    FROM conversations
+), kinds AS (
+    SELECT *, {_crc32("k")} % 20 AS kind FROM keyed
+), damaged AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+           CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g')
+                     ELSE text END AS text
+    FROM (SELECT *, unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy FROM kinds)
+    WHERE kind <> 0
+), placed AS (
+    SELECT *, row_number() OVER (
+        PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged
+), met AS (
+    SELECT *, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+           row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+           NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') AS open,
+           lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1] AS pair
+    FROM placed
+), faults AS (
+    SELECT *, again AND NOT blank AS duplicate,
+           CASE WHEN open AND NOT blank AND NOT again THEN 1 ELSE 0 END AS cut
+    FROM met
+), counted AS (
+    SELECT conv_id, count(*) AS n,
+           coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+           sum(cut) AS truncated,
+           count(*) FILTER (pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM faults GROUP BY conv_id
+), edits AS (
+    SELECT conv_id, CAST(0 AS BIGINT) AS i,
+           {{'c': CAST(0 AS BIGINT), 'a': '', 'o': ''}} AS s0,
+           CAST(NULL AS STRUCT(c BIGINT, a VARCHAR, o VARCHAR)) AS s1,
+           CAST(NULL AS STRUCT(c BIGINT, a VARCHAR, o VARCHAR)) AS s2,
+           CAST(NULL AS STRUCT(c BIGINT, a VARCHAR, o VARCHAR)) AS s3
+    FROM counted
+    UNION ALL
+    SELECT conv_id, i, {_edited("x0", "3", "D")},
+           {_cheapest(_edited("x1", "3", "D"), _kept("x0", "s", None))},
+           {_cheapest(_edited("x2", "3", "D"), _kept("x0", "u", "user"),
+                      _kept("x1", "u", "user"), _kept("x3", "u", "user"))},
+           {_cheapest(_edited("x3", "3", "D"), _kept("x2", "a", "assistant"))}
+    FROM (
+        SELECT f.conv_id, f.i, f.role, f.text, f.blank, f.duplicate, f.cut, s0 AS x0, s1 AS x1,
+               {_cheapest("s2", _edited("s0", "2", "I", _USER), _edited("s1", "2", "I", _USER),
+                          _edited("s3", "2", "I", _USER))} AS x2,
+               {_cheapest("s3", _edited("s2", "2", "I", _ASSISTANT),
+                          _edited("s0", "4", "II", _PAIR), _edited("s1", "4", "II", _PAIR))} AS x3
+        FROM edits e JOIN faults f ON f.conv_id IS NOT DISTINCT FROM e.conv_id AND f.i = e.i + 1
+    )
+), settled AS (
+    SELECT conv_id, {_cheapest("s0", "s3", _edited("s2", "2", "I", _ASSISTANT),
+                               _edited("s1", "4", "II", _PAIR))} AS best, c.*
+    FROM edits e JOIN (SELECT conv_id AS counted_id, * EXCLUDE (conv_id) FROM counted) c
+        ON c.counted_id IS NOT DISTINCT FROM e.conv_id AND c.n = e.i
+)
+SELECT a.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps,
+       CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+       CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate,
+       CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+       CAST(coalesce(illegal, 0) AS BIGINT) AS illegal,
+       CAST(coalesce(best.c, 0) AS BIGINT) AS cost, coalesce(best.a, '') AS audit,
+       sha256(coalesce(substr(best.o, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a
+LEFT JOIN settled s ON s.conv_id IS NOT DISTINCT FROM a.conv_id
+"""
+
+
 STATEMENTS: dict[str, str] = {
     "op3_warc": _ARCHIVE,
     "op8_quality_rules": _QUALITY,
     "op9_mixing": _MIX,
+    "op11_conversation_repair": _REPAIR,
 }

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from sluiceway.llm import (
     bpe,
+    conversation_repair,
     mixing,
     near_duplicates,
     neighbours,
@@ -109,6 +110,12 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ("conv_id", "turn", "role", "text")
+    damaged = conversation_repair.damage(table(spark, sf_dir, "conversations"), *columns)
+    return conversation_repair.repair(damaged, *columns, present=F.col("present"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_nearest": op1_nearest,
     "op2_near_duplicates": op2_near_duplicates,
@@ -120,4 +127,5 @@ QUERIES: dict[str, Query] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_mixing": op9_mixing,
     "op10_secret_scan": op10_secret_scan,
+    "op11_conversation_repair": op11_conversation_repair,
 }
