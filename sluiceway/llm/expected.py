@@ -225,9 +225,62 @@ LEFT JOIN settled s ON s.conv_id IS NOT DISTINCT FROM a.conv_id
 """
 
 
+_TRIE = rf"""
+WITH said AS (
+    SELECT conv_id, turn, length(coalesce(text, '')) AS chars,
+           sha256(CAST(length(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || ':'
+               || coalesce(text, '')) AS item
+    FROM conversations WHERE conv_id IS NOT NULL
+), talks AS (
+    SELECT conv_id, list({{'item': item, 'chars': chars}} ORDER BY turn NULLS FIRST, item) AS own,
+           CAST(conv_id AS VARCHAR) AS k
+    FROM said GROUP BY conv_id
+), openings AS (
+    SELECT *, {_crc32("k")} % 6 AS h FROM talks
+), rebuilt AS (
+    SELECT t.conv_id, list_concat(coalesce(b.own[1:t.h], []), t.own[t.h + 1:]) AS turns
+    FROM openings t LEFT JOIN talks b ON b.conv_id = t.conv_id - t.conv_id % 100
+), prefixes AS (
+    SELECT conv_id, d AS depth, len(turns) AS n, turns,
+           sha256(array_to_string(list_transform(turns[1:d], lambda t: t.item), ',')) AS node
+    FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM rebuilt)
+), nodes AS (
+    SELECT depth, node, min(conv_id) AS conv_id, count(*) AS n_convs,
+           coalesce(any_value(turns[depth].chars), 0) AS chars,
+           sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)
+               FILTER (depth = n), '')) AS ends_sha256
+    FROM prefixes GROUP BY depth, node
+), paths AS (
+    SELECT n.depth, n.node, n.n_convs, n.chars, p.depth AS above_depth, p.node AS above
+    FROM nodes n JOIN prefixes p ON p.conv_id = n.conv_id AND p.depth <= n.depth
+), children AS (
+    SELECT above_depth AS depth, above AS node, count(*) AS n_children
+    FROM paths WHERE above_depth = depth - 1 GROUP BY above_depth, above
+), sums AS (
+    SELECT p.above_depth AS depth, p.above AS node,
+           count(*) FILTER (c.n_children IS NULL) AS n_leaves,
+           sum((p.n_convs - 1) * p.chars) AS saved_tokens
+    FROM paths p LEFT JOIN children c ON c.depth = p.depth AND c.node = p.node
+    GROUP BY p.above_depth, p.above
+), parents AS (
+    SELECT p.depth, p.node, m.conv_id AS parent_conv_id
+    FROM paths p JOIN nodes m ON m.depth = p.above_depth AND m.node = p.above
+    WHERE p.above_depth = p.depth - 1
+)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, m.parent_conv_id,
+       CAST(n.n_convs AS BIGINT) AS n_convs,
+       CAST(coalesce(c.n_children, 0) AS BIGINT) AS n_children,
+       CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens,
+       n.ends_sha256
+FROM nodes n JOIN sums s USING (depth, node)
+LEFT JOIN children c USING (depth, node) LEFT JOIN parents m USING (depth, node)
+"""
+
+
 STATEMENTS: dict[str, str] = {
     "op3_warc": _ARCHIVE,
     "op8_quality_rules": _QUALITY,
     "op9_mixing": _MIX,
     "op11_conversation_repair": _REPAIR,
+    "op13_prefix_trie": _TRIE,
 }

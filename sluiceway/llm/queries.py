@@ -16,6 +16,7 @@ from sluiceway.llm import (
     near_duplicates,
     neighbours,
     pii,
+    prefix_trie,
     quality_rules,
     secret_scan,
     token_counts,
@@ -116,6 +117,12 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair(damaged, *columns, present=F.col("present"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talks = table(spark, sf_dir, "conversations")
+    rebuilt = prefix_trie.shared_openings(talks, "conv_id", "turn", "role", "text")
+    return prefix_trie.trie_nodes(rebuilt)
+
+
 QUERIES: dict[str, Query] = {
     "op1_nearest": op1_nearest,
     "op2_near_duplicates": op2_near_duplicates,
@@ -128,4 +135,5 @@ QUERIES: dict[str, Query] = {
     "op9_mixing": op9_mixing,
     "op10_secret_scan": op10_secret_scan,
     "op11_conversation_repair": op11_conversation_repair,
+    "op13_prefix_trie": op13_prefix_trie,
 }

@@ -9,7 +9,7 @@ import re
 
 import pytest
 
-from sluiceway.llm import conversation_repair, expected
+from sluiceway.llm import conversation_repair, expected, prefix_trie
 from verification.compare import connect
 
 SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
@@ -177,3 +177,77 @@ def test_repair_with_clashing_names(spark):
     got = conversation_repair.repair(named, "same", "again", "role", "blank").collect()
     wanted = conversation_repair.repair(plain, "conv_id", "turn", "role", "text").collect()
     assert sorted(map(tuple, got), key=repr) == sorted(map(tuple, wanted), key=repr)
+
+
+# --- prefix trie ----------------------------------------------------------------------------
+
+
+def _trie(**limits):
+    def run(df):
+        rebuilt = prefix_trie.shared_openings(df, "conv_id", "turn", "role", "text")
+        return prefix_trie.trie_nodes(rebuilt, **limits)
+
+    return run
+
+
+def _talks(rng, convs, longest, words):
+    return [
+        (conv * 7, turn, rng.choice(["user", "assistant"]), rng.choice(words))
+        for conv in range(convs)
+        for turn in range(rng.randrange(0, longest + 1))
+    ]
+
+
+@pytest.mark.parametrize("limits", [{}, {"segment": 2, "shard_turns": 1}, {"segment": 4, "shard_turns": 9}],
+                         ids=["usual", "smallest", "small"])
+@pytest.mark.parametrize("longest,words", [(9, "ab"), (4, "a"), (12, "abcdefgh")])
+def test_trie_against_sql(spark, limits, longest, words):
+    rows = _talks(random.Random(longest), 45, longest, words)
+    got, wanted = _with_sql(spark, "op13_prefix_trie", rows, _trie(**limits))
+    assert got == wanted
+
+
+@pytest.mark.parametrize("rows", [AWKWARD, AWKWARD * 2, []], ids=["once", "twice", "empty"])
+def test_trie_of_awkward_rows(spark, rows):
+    got, wanted = _with_sql(spark, "op13_prefix_trie", rows, _trie())
+    assert got == wanted
+
+
+def test_trie_of_one_long_conversation_and_its_copies(spark):
+    rows = [(c, i, "user", f"turn {i}") for c in (1, 2, 3) for i in range(300)]
+    rows += [(4, i, "user", f"turn {i}") for i in range(290)] + [(4, 290, "user", "other")]
+    got, wanted = _with_sql(spark, "op13_prefix_trie", rows, _trie(segment=8, shard_turns=5))
+    assert got == wanted
+
+
+def test_trie_with_clashing_names(spark):
+    rows = [(*row, 1, "x", 3) for row in AWKWARD]
+    named = spark.createDataFrame(
+        rows, "place long, digest long, role string, chars string, conv_id int, _from string, number int"
+    )
+    plain = spark.createDataFrame(AWKWARD, SCHEMA)
+    one = prefix_trie.shared_openings(named, "place", "digest", "role", "chars").collect()
+    two = prefix_trie.shared_openings(plain, "conv_id", "turn", "role", "text").collect()
+    assert sorted(map(repr, one)) == sorted(map(repr, two))
+
+
+def test_double_array_holds_exactly_its_sequences():
+    rng = random.Random(3)
+    sequences = sorted(
+        {tuple(rng.randrange(1, 30) for _ in range(rng.randrange(1, 5))) for _ in range(400)}
+    )
+    trie = prefix_trie.DoubleArray(sequences)
+    prefixes = {s[:n] for s in sequences for n in range(1, len(s) + 1)}
+    assert len(trie.order) == len(set(trie.order)) == len(prefixes)
+
+    def found(sequence):
+        state = 0
+        for code in sequence:
+            state = trie.child(state, code)
+            if state is None:
+                return False
+        return True
+
+    assert all(map(found, prefixes))
+    for sequence in itertools.product(range(1, 30), repeat=2):
+        assert found(sequence) == (sequence in prefixes)
