@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from sluiceway.llm import (
     bpe,
     conversation_repair,
+    language_crf,
     mixing,
     near_duplicates,
     neighbours,
@@ -117,6 +118,15 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair(damaged, *columns, present=F.col("present"))
 
 
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    crc = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    held_out = crc % 4 == 2
+    field = language_crf.fit_languages(docs.where(~held_out), "text", "lang")
+    found = language_crf.identify(docs.select("doc_id", "text"), "text", field)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     talks = table(spark, sf_dir, "conversations")
     rebuilt = prefix_trie.shared_openings(talks, "conv_id", "turn", "role", "text")
@@ -135,5 +145,6 @@ QUERIES: dict[str, Query] = {
     "op9_mixing": op9_mixing,
     "op10_secret_scan": op10_secret_scan,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_language_id": op12_language_id,
     "op13_prefix_trie": op13_prefix_trie,
 }
