@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from sluiceway.llm.texts import bounded_batches, quoted
 from sluiceway.operators import stage
+from sluiceway.sources.storage import delete_path
 
 #: Payload bytes a shard should hold, and compressed bytes after which a file is closed.
 SHARD_BYTES = 64 << 20
@@ -36,6 +37,9 @@ DATE = "2026-01-01T00:00:00Z"
 _NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 _REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _LEVEL = 5
+_TEMPORARY = "_temporary"
+# Tasks that read archives, at most; beyond, a task reads several files one after the other.
+_READERS = 100_000
 
 MANIFEST = "file string, shard int, records long, bytes long, sha256 string"
 RECORDS = (
@@ -174,6 +178,8 @@ def record_bytes(row: dict) -> bytes:
         ]
     if row["page_id"] is not None:
         headers.append(("X-Page", str(row["page_id"])))
+    if row["url"] is None:
+        headers.append(("X-Target-Unknown", "yes"))
     headers.append(("Content-Length", str(len(block))))
     head = "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in headers) + "\r\n"
     return head.encode("utf-8") + block + b"\r\n\r\n"
@@ -192,7 +198,7 @@ class _File:
         self.name = f"shard-{shard:06d}-{number:04d}.warc.gz"
         self.shard, self.records, self.bytes = shard, 0, 0
         self._store, self._folder = store, folder
-        self._temporary = f"{folder}/_temporary-{uuid.uuid4().hex}-{self.name}"
+        self._temporary = f"{folder}/{_TEMPORARY}/{uuid.uuid4().hex}-{self.name}"
         self._digest = hashlib.sha256()
         self._out = store.open_output_stream(self._temporary, compression=None)
         self.add(
@@ -238,18 +244,22 @@ def write_archive(records: DataFrame, folder: str, shard_bytes: int = SHARD_BYTE
     """
     spark = records.sparkSession
     bounded_batches(spark)
-    # Written once: the bounds of shards and the records must come from the same rows.
-    held = stage(records, "warc-records")
-    shard, shards = shard_of(held, shard_bytes)
+    # The bounds need no payload, and a record's shard follows from its own columns alone. So
+    # only narrow rows are written for the bounds, and payloads travel once, to their shard's
+    # task; its number is given, as ranges drawn from a sample would need a further pass.
+    narrow = stage(
+        records.select("page_id", "payload_bytes", "payload_digest", "record_type"), "warc-bounds"
+    )
+    shard, shards = shard_of(narrow, shard_bytes)
     dealt = (
-        held.withColumn("shard", shard)
-        .repartitionByRange(shards, "shard")
+        records.withColumn("shard", shard)
+        .repartitionById(shards, "shard")
         .sortWithinPartitions("shard", F.asc_nulls_first("page_id"), "payload_digest", "url")
     )
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, path = fs.FileSystem.from_uri(folder)
-        store.create_dir(path, recursive=True)
+        store.create_dir(f"{path}/{_TEMPORARY}", recursive=True)
         current, number = None, 0
         done = []
         for batch in batches:
@@ -271,6 +281,8 @@ def write_archive(records: DataFrame, folder: str, shard_bytes: int = SHARD_BYTE
     manifest = dealt.mapInArrow(write, MANIFEST)
     path = f"{folder}/manifest"
     manifest.write.mode("overwrite").parquet(path)
+    # What failed attempts left; files of the manifest have their final names.
+    delete_path(spark, f"{folder}/{_TEMPORARY}")
     return spark.read.schema(MANIFEST).parquet(path)
 
 
@@ -330,7 +342,7 @@ def _parsed(headers: dict[str, str], block: bytes, payloads: bool) -> dict:
         "payload_digest": stated,
         "record_type": headers["WARC-Type"],
         "refers_to": None if refers is None else int(refers),
-        "url": headers["WARC-Target-URI"],
+        "url": None if "X-Target-Unknown" in headers else headers["WARC-Target-URI"],
         "payload": payload if payloads and not revisit else None,
     }
 
@@ -340,7 +352,9 @@ def read_archive(manifest: DataFrame, folder: str, payloads: bool = True) -> Dat
 
     Files are read in streams, many tasks at a time; a task holds one record besides its batch.
     """
-    files = manifest.select("file").repartition(F.col("file"))
+    # The manifest is a few kilobytes, so left alone all its files would be read by one task.
+    readers = min(max(1, manifest.count()), _READERS)
+    files = manifest.select("file").repartition(readers, "file")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, path = fs.FileSystem.from_uri(folder)
@@ -367,8 +381,8 @@ def archive_pages(
 ) -> DataFrame:
     """Write one record per row of ``pages`` below ``folder`` and read the archives back.
 
-    A null html is the empty payload, a null url becomes ``urn:unknown``, control characters
-    of a url are percent-encoded; repeated rows give repeated records. Other columns of
+    A null html is the empty payload, a null url stays null (``urn:unknown`` and a header of
+    its own in the file), control characters of a url are percent-encoded; repeated rows give repeated records. Other columns of
     ``pages`` take no part.
     """
     manifest = write_archive(describe(pages, key, url, html), folder)
