@@ -26,7 +26,6 @@ from sluiceway.functions import (
     without_prefix,
 )
 from sluiceway.operators import keep_latest, next_in_key
-from sluiceway.operators.skew import HEAVY_ROWS
 from sluiceway.schemas import SILVER
 
 # The code lists of the source systems and the labels they stand for.
@@ -68,7 +67,7 @@ def clean_customers(
 def clean_products(
     crm_prd_info: DataFrame,
     batch_ts: datetime | None = None,
-    heavy_rows: int = HEAVY_ROWS,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Split the category from the product key and date the versions of each product.
 
@@ -91,7 +90,7 @@ def clean_products(
         order_by=["prd_start_dt", "prd_id"],
         value="prd_start_dt",
         out="_next_start",
-        heavy_rows=heavy_rows,
+        partitions=partitions,
     ).withColumn("prd_end_dt", F.date_sub(F.col("_next_start").cast("date"), 1))
     return stamp(enforce(dated, SILVER["crm_prd_info"]), batch_ts)
 

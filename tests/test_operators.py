@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sluiceway.operators import dense_key, keep_latest, left_join, next_in_key, row_key, stage
+from sluiceway.operators import versions as versions_module
 from sluiceway.operators.skew import heavy_keys
 from sluiceway.operators.staging import scratch_dir
 
@@ -130,8 +131,7 @@ def test_no_random_value_decides_where_a_row_is_sent(spark):
     """A retried task would draw other values than the first attempt did."""
     rows = spark.createDataFrame([("a", 1), ("a", 1), (None, 2)], "k string, v int")
     plans = [
-        explained(next_in_key(rows, "k", ["v"], "v", "n", heavy_rows))
-        for heavy_rows in (10**9, 1)
+        explained(next_in_key(rows, "k", ["v"], "v", "n", partitions)) for partitions in (None, 3)
     ] + [explained(left_join(rows, rows.toDF("rk", "rv"), "k", "rk", 1))]
     for plan in plans:
         assert "rand(" not in plan
@@ -159,11 +159,18 @@ def leads(rows):
     return out
 
 
-@pytest.mark.parametrize("heavy_rows", [10**9, 100, 2], ids=["window", "one hot", "all hot"])
-def test_next_in_key(spark, heavy_rows):
+@pytest.mark.parametrize("partitions", [None, 1, 7, 300], ids=["chosen", "one", "some", "many"])
+@pytest.mark.parametrize("batch", ["10000", "3"])
+def test_next_in_key(spark, partitions, batch):
     rows = versions()
     df = spark.createDataFrame(rows, "key string, start int, i int").repartition(5)
-    out = next_in_key(df, "key", ["start", "i"], "start", "following", heavy_rows)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, batch)
+    try:
+        out = next_in_key(df, "key", ["start", "i"], "start", "following", partitions)
+    finally:
+        spark.conf.set(name, before)
     got = {r.i: r.following for r in out.collect()}
     assert out.count() == len(rows)
     assert got == leads(rows)
@@ -172,12 +179,39 @@ def test_next_in_key(spark, heavy_rows):
 def test_next_in_key_with_exact_copies_of_a_hot_row(spark):
     rows = [("hot", 1, "x")] * 50 + [("hot", 2, "x")]
     df = spark.createDataFrame(rows, "key string, start int, tag string")
-    for heavy_rows in (10**9, 10):
-        out = next_in_key(df, "key", ["start"], "start", "following", heavy_rows)
+    for partitions in (None, 10):
+        out = next_in_key(df, "key", ["start"], "start", "following", partitions)
         found = sorted((r.start, r.following or 0) for r in out.collect())
         assert found == [(1, 1)] * 49 + [(1, 2), (2, 0)]
 
 
+def test_next_in_key_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "key string, start int")
+    out = next_in_key(df, "key", ["start"], "start", "following")
+    assert out.columns == ["key", "start", "following"] and out.count() == 0
+
+
+def test_a_key_with_a_third_of_all_rows_is_spread(spark, monkeypatch):
+    """One range exchange before the shift, and the hot key lies on several of its tasks."""
+    plans, staged = [], versions_module.stage
+
+    def kept(df, label):
+        plans.append(df)
+        return staged(df, label)
+
+    monkeypatch.setattr(versions_module, "stage", kept)
+    rows = spark.range(3000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('k', id % 40) END AS key", "id AS start"
+    )
+    next_in_key(rows, "key", ["start"], "start", "following", 12)
+    (shifted,) = plans
+    plan = explained(shifted).split("== Physical Plan ==")[1]
+    assert plan.count("Exchange rangepartitioning") == 1 and plan.count("Exchange") == 1
+    parts = shifted.where("key = 'hot'").select(F.shiftright("_id", 33).alias("part"))
+    sizes = [r["count"] for r in parts.groupBy("part").count().collect()]
+    assert len(sizes) >= 4 and max(sizes) <= 500
+
+
 def test_heavy_keys(spark):
     df = spark.createDataFrame([("a",)] * 5 + [("b",)] * 2 + [(None,)] * 9, "k string")
     assert sorted(map(tuple, heavy_keys(df, "k", 1).collect())) == [("a", 5), ("b", 2)]
@@ -191,7 +225,6 @@ def test_hot_keys_are_found_in_a_table_that_compresses_to_nothing(spark, tmp_pat
     rows.write.parquet(f"{tmp_path}/t")
     df = spark.read.parquet(f"{tmp_path}/t")
     assert [tuple(r) for r in heavy_keys(df, "k", 100_000).collect()] == [("hot", 200_000)]
-    assert "_row" in explained(next_in_key(df, "k", ["v"], "v", "n", 100_000))
     left = spark.createDataFrame([("hot",)], "lk string")
     assert "_salt" in explained(left_join(left, df, "lk", "k", 100_000))
     name = "spark.sql.autoBroadcastJoinThreshold"

@@ -43,7 +43,7 @@ def silver_tables(spark):
 def test_hot_key_paths_give_the_same_results(spark, con, silver_tables):
     """Every product and every partner counts as hot; results must not change."""
     raw = catalogue.SHAPES["crm_prd_info"](spark, SF_DIR)
-    split = silver.clean_products(raw, catalogue.BATCH_TS, heavy_rows=0)
+    split = silver.clean_products(raw, catalogue.BATCH_TS, partitions=50)
     assert compare(con, "silver_products", split.drop(AUDIT_COLUMN)) == ""
     people = [silver_tables[t] for t in ("crm_cust_info", "erp_cust_az12", "erp_loc_a101")]
     dim = gold.build_dim_customer(*people, catalogue.BATCH_TS, heavy_rows=0)

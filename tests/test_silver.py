@@ -99,8 +99,8 @@ def test_product_key_cost_and_line(spark):
     ]
 
 
-@pytest.mark.parametrize("heavy_rows", [10**9, 1], ids=["window", "split"])
-def test_product_versions(spark, heavy_rows):
+@pytest.mark.parametrize("partitions", [None, 40], ids=["chosen", "many"])
+def test_product_versions(spark, partitions):
     raw = products(
         spark,
         (1, "AC-HE-HL", 1, "S", datetime(2011, 7, 1)),
@@ -113,7 +113,7 @@ def test_product_versions(spark, heavy_rows):
         (9, "AC-HE-TT", 1, "S", datetime(2012, 7, 1)),
         (8, "AC-HE-TT", 1, "S", datetime(2012, 7, 1)),
     )
-    out = silver.clean_products(raw, BATCH_TS, heavy_rows).collect()
+    out = silver.clean_products(raw, BATCH_TS, partitions).collect()
     assert {r.prd_id: r.prd_end_dt for r in out} == {
         1: date(2012, 6, 30),
         2: date(2013, 6, 30),
