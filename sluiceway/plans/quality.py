@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -47,34 +47,11 @@ CHECKS: dict[str, tuple[Check, ...]] = {
 }
 
 
-def _result(table: str, test: str, column: str, failures: Column) -> list[Column]:
-    return [
-        F.lit(table).alias("table_name"),
-        F.lit(test).alias("test"),
-        F.lit(column).alias("column_name"),
-        F.coalesce(failures, F.lit(0)).cast("bigint").alias("failures"),
-    ]
-
-
-def not_null_failures(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
-    """Null counts of all given columns in one pass."""
-    counted = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    rows = F.array(*[F.struct(*_result(table, "not_null", c, F.col(c))) for c in columns])
-    return counted.select(F.inline(rows))
-
-
 def duplicates(df: DataFrame, column: str) -> DataFrame:
     """Values that occur more than once, with their counts."""
     return df.where(F.col(column).isNotNull()).groupBy(column).count().where("count > 1")
 
 
-def unique_failures(df: DataFrame, table: str, column: str) -> DataFrame:
-    """Number of values that occur more than once."""
-    return duplicates(df, column).agg(F.count(F.lit(1)).alias("n")).select(
-        _result(table, "unique", column, F.col("n"))
-    )
-
-
 def orphans(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
     """Child values without a parent, with their row counts.
 
@@ -88,32 +65,107 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, field: str) -> Dat
     )
 
 
-def relationship_failures(
-    child: DataFrame, table: str, column: str, parent: DataFrame, field: str
+def _candidates(
+    df: DataFrame, table: str, declared: Sequence[Check], tables: Mapping[str, DataFrame]
 ) -> DataFrame:
-    """Number of child rows whose value has no parent."""
-    return orphans(child, column, parent, field).agg(F.sum("count").alias("n")).select(
-        _result(table, "relationships", column, F.col("n"))
+    """Failures of all tests of one table, counted in one pass over it.
+
+    The tested keys are counted per value by grouping sets, with map-side combine: one row per
+    value and task is shuffled, whatever the table's size. The null counts ride along with the
+    first key. Broken references are only candidates: ``parent`` and ``known`` say where the
+    value has to be found.
+    """
+    keys = list(dict.fromkeys(c.column for c in declared if not isinstance(c, NotNull)))
+    required = list(dict.fromkeys(c.column for c in declared if isinstance(c, NotNull)))
+    key_of = {c: f"_key{i}" for i, c in enumerate(keys)}
+    nulls_of = {c: f"_nulls{i}" for i, c in enumerate(required)}
+    narrow = df.select(
+        *[F.col(c).alias(name) for c, name in key_of.items()],
+        *[F.col(c).isNull().alias(name) for c, name in nulls_of.items()],
     )
+    figures = [
+        F.count(F.lit(1)).alias("_n"),
+        *[F.count_if(name).alias(name) for name in nulls_of.values()],
+    ]
+    names = list(key_of.values())
+    if len(names) > 1:
+        counted = narrow.groupingSets([[F.col(n)] for n in names], *map(F.col, names)).agg(
+            *figures, *[(F.grouping(n) == 0).alias(f"{n}_on") for n in names]
+        )
+    else:
+        counted = narrow.groupBy(*names).agg(*figures)
+        counted = counted.withColumns({f"{n}_on": F.lit(True) for n in names})
+    first = F.col(f"{names[0]}_on") if names else F.lit(True)
+
+    found = []
+    for check in declared:
+        key = key_of.get(check.column)
+        used = F.col(f"{key}_on") & F.col(key).isNotNull() if key else F.lit(False)
+        parent = known = F.lit(None).cast("string")
+        if isinstance(check, NotNull):
+            test, failures = "not_null", F.when(first, F.col(nulls_of[check.column]))
+        elif isinstance(check, Unique):
+            test, failures = "unique", F.when(used & (F.col("_n") > 1), F.lit(1))
+        else:
+            test, failures = "relationships", F.when(used, F.col("_n"))
+            parent = F.lit(f"{check.to}.{check.field}")
+            # A value that its parent's type cannot hold has no parent.
+            kind = tables[check.to].schema[check.field].dataType
+            known = F.col(key).try_cast(kind).cast("string")
+        found.append(
+            F.struct(
+                F.lit(table).alias("table_name"),
+                F.lit(test).alias("test"),
+                F.lit(check.column).alias("column_name"),
+                F.coalesce(failures, F.lit(0)).cast("bigint").alias("failures"),
+                parent.alias("parent"),
+                known.alias("known"),
+            )
+        )
+    failing = F.filter(F.array(*found), lambda f: f["failures"] > 0)
+    return counted.select(F.inline(failing))
+
+
+def _test_name(check: Check) -> str:
+    names = {NotNull: "not_null", Unique: "unique", Relationship: "relationships"}
+    return names[type(check)]
 
 
 def quality_report(
     tables: Mapping[str, DataFrame], checks: Mapping[str, Sequence[Check]] = CHECKS
 ) -> DataFrame:
-    """One row per test: (table_name, test, column_name, failures, passed)."""
-    parts: list[DataFrame] = []
-    for table, declared in checks.items():
-        df = tables[table]
-        required = [c.column for c in declared if isinstance(c, NotNull)]
-        if required:
-            parts.append(not_null_failures(df, table, required))
-        for check in declared:
-            if isinstance(check, Unique):
-                parts.append(unique_failures(df, table, check.column))
-            elif isinstance(check, Relationship):
-                parts.append(
-                    relationship_failures(
-                        df, table, check.column, tables[check.to], check.field
-                    )
+    """One row per test: (table_name, test, column_name, failures, passed).
+
+    ``Unique`` counts values that occur more than once, the others rows. Every table is
+    evaluated once, for all of its tests together, and once more in two narrow columns where
+    other tables refer to it.
+    """
+    declared = [
+        (table, _test_name(check), check.column) for table, group in checks.items() for check in group
+    ]
+    spark = next(iter(tables.values())).sparkSession
+    report = spark.createDataFrame(declared, "table_name string, test string, column_name string")
+    report = report.withColumn("failures", F.lit(0).cast("bigint"))
+    for table, group in checks.items():
+        if not group:
+            continue
+        failing = _candidates(tables[table], table, group, tables)
+        parents = sorted({(c.to, c.field) for c in group if isinstance(c, Relationship)})
+        if parents:
+            values = [
+                tables[to]
+                .where(F.col(field).isNotNull())
+                .select(
+                    F.lit(f"{to}.{field}").alias("parent"),
+                    F.col(field).cast("string").alias("known"),
                 )
-    return reduce(DataFrame.unionByName, parts).withColumn("passed", F.col("failures") == 0)
+                for to, field in parents
+            ]
+            failing = failing.join(
+                reduce(DataFrame.unionByName, values).distinct(), ["parent", "known"], "left_anti"
+            )
+        report = report.unionByName(failing.select(*report.columns))
+    summed = report.groupBy("table_name", "test", "column_name").agg(
+        F.sum("failures").alias("failures")
+    )
+    return summed.withColumn("passed", F.col("failures") == 0)

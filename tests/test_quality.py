@@ -53,11 +53,25 @@ def test_failing_values_can_be_listed(tables, rows_of):
     assert rows_of(orphans) == [(5, 2), (6, 1)]
 
 
-def test_all_not_null_tests_of_a_table_share_one_pass(tables):
-    df = quality.not_null_failures(
-        tables["fact_sales"], "fact_sales", ["order_number", "product_key", "customer_key"]
-    )
-    assert df._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 1
+def test_every_table_is_evaluated_once_for_its_own_tests(spark, tables, tmp_path):
+    written = {}
+    for name, df in tables.items():
+        df.write.parquet(f"{tmp_path}/{name}")
+        written[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    plan = quality.quality_report(written)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [order_number") == 1
+    # Once for its own tests, once as the parent of the fact's keys.
+    assert plan.count("Relation [customer_key") == 2
+
+
+def test_references_between_types(spark, rows_of):
+    child = spark.createDataFrame([(1,), (2**40,), (None,)], "k bigint")
+    parent = spark.createDataFrame([(1,), (1,)], "id int")
+    checks = {"child": (quality.Relationship("k", "parent", "id"), quality.Unique("k"))}
+    report = quality.quality_report({"child": child, "parent": parent}, checks)
+    assert rows_of(report) == [
+        ("child", "relationships", "k", 1, False), ("child", "unique", "k", 0, True)
+    ]
 
 
 def test_the_fact_is_counted_before_the_reference_join(tables):

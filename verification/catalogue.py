@@ -87,8 +87,8 @@ def _fact_sales(
     return gold.build_fact_sales(sales, products, customers, BATCH_TS)
 
 
-def _gold_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The star schema, dimensions written once as in a gold load."""
+def _gold_tables(spark: SparkSession, sf_dir: str, fact: bool = True) -> dict[str, DataFrame]:
+    """The star schema, dimensions written once as in a gold load; the fact only if wanted."""
     customers, products = together(
         spark,
         [
@@ -96,11 +96,10 @@ def _gold_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             lambda: stage(_dim_product(spark, sf_dir), "dim_product"),
         ],
     )
-    return {
-        "dim_customer": customers,
-        "dim_product": products,
-        "fact_sales": _fact_sales(spark, sf_dir, products, customers),
-    }
+    tables = {"dim_customer": customers, "dim_product": products}
+    if fact:
+        tables["fact_sales"] = _fact_sales(spark, sf_dir, products, customers)
+    return tables
 
 
 _DIMENSIONS = {"dim_customer": _dim_customer, "dim_product": _dim_product}
@@ -146,10 +145,10 @@ def _view_fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table("gold_fact_sales")
 
 
-def _typed_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def _typed_tables(spark: SparkSession, sf_dir: str, fact: bool = True) -> dict[str, DataFrame]:
     return {
         table: views.typed_view(table, warehouse.LOADS[table](df))
-        for table, df in _gold_tables(spark, sf_dir).items()
+        for table, df in _gold_tables(spark, sf_dir, fact).items()
     }
 
 
@@ -158,8 +157,9 @@ def _checks_of(kind: type[quality.Check]) -> Query:
         table: [c for c in declared if isinstance(c, kind)]
         for table, declared in quality.CHECKS.items()
     }
+    fact = bool(chosen["fact_sales"])
     return lambda spark, sf_dir: quality.quality_report(
-        _typed_tables(spark, sf_dir), chosen
+        _typed_tables(spark, sf_dir, fact), chosen
     ).drop("passed")
 
 
