@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import UTC, datetime
 
@@ -15,7 +15,7 @@ from sluiceway.plans.metrics import append_metrics, write_measured
 from sluiceway.plans.warehouse import LOADS
 from sluiceway.session import configure
 from sluiceway.sources import jdbc
-from sluiceway.sources.bronze import LOADERS, Source
+from sluiceway.sources.bronze import LOADERS, FileSource, Source, declared
 from sluiceway.sources.lake import lake_path, read_table, write_table
 
 
@@ -54,17 +54,26 @@ class Lake:
 SILVER_PREFIX, GOLD_PREFIX = "silver_", "gold_"
 
 
+REJECTED_SUFFIX = "_rejects"
+
+
+def _land(lake: Lake, source: Source, table: str) -> list[dict]:
+    """Write one source table, and its rejects where the source is checked and has any."""
+    if not (isinstance(source, FileSource) and source.checked):
+        return [lake.write("bronze", table, LOADERS[table](lake.spark, source))]
+    read = source.read_checked(lake.spark, table)
+    metrics = [lake.write("bronze", table, declared(read.rows, table))]
+    if read.rejected.get["rejected"]:
+        metrics.append(lake.write("bronze", table + REJECTED_SUFFIX, read.rejects))
+    return metrics
+
+
 def load_bronze(lake: Lake, source: Source) -> list[dict]:
-    """Land the six source tables as they are."""
-    return lake.record(
-        together(
-            lake.spark,
-            [
-                lambda t=table, load=load: lake.write("bronze", t, load(lake.spark, source))
-                for table, load in LOADERS.items()
-            ],
-        )
+    """Land the six source tables as they are; rejects of a checked source beside them."""
+    landed = together(
+        lake.spark, [lambda t=table: _land(lake, source, t) for table in LOADERS]
     )
+    return lake.record([metric for metrics in landed for metric in metrics])
 
 
 def load_silver(lake: Lake) -> list[dict]:
@@ -129,27 +138,51 @@ def load_gold(lake: Lake) -> list[dict]:
     return lake.record(metrics)
 
 
-def load_warehouse(lake: Lake, database: jdbc.Database | None = None) -> list[dict]:
-    """Full refresh of the warehouse tables, in the lake or in a database."""
+def load_warehouse(
+    lake: Lake,
+    database: jdbc.Database | None = None,
+    columns: Mapping[str, Sequence[str]] | None = None,
+) -> list[dict]:
+    """Full refresh of the warehouse tables, in the lake or in a database.
+
+    Tables named in ``columns`` are replaced by one of the declared columns only.
+    """
+    declared_columns = columns or {}
 
     def write(table: str) -> dict:
         df = LOADS[table](lake.read("gold", GOLD_PREFIX + table))
+        chosen = declared_columns.get(table)
         if database is None:
-            return lake.write("warehouse", table, df)
+            return lake.write("warehouse", table, df if chosen is None else df.select(*chosen))
+        name = f"warehouse.{table}"
+        if chosen is None:
+            return write_measured(df, table, lambda out: jdbc.refresh_table(out, database, name))
         return write_measured(
-            df, table, lambda out: jdbc.refresh_table(out, database, f"warehouse.{table}")
+            df.select(*chosen), table, lambda out: jdbc.replace_table(out, database, name, chosen)
         )
 
     return lake.record(together(lake.spark, [lambda t=table: write(t) for table in LOADS]))
 
 
-def create_views(lake: Lake, database: jdbc.Database | None = None) -> dict[str, DataFrame]:
+# Columns that cut a warehouse table for a parallel read, and the number of slices.
+READ_BACK = {
+    "dim_customer": jdbc.DepthSlices("customer_key", 16),
+    "dim_product": jdbc.DepthSlices("product_key", 4),
+    "fact_sales": jdbc.DepthSlices("order_number", 64),
+}
+
+
+def create_views(
+    lake: Lake,
+    database: jdbc.Database | None = None,
+    slices: Mapping[str, jdbc.Slices | jdbc.DepthSlices] = READ_BACK,
+) -> dict[str, DataFrame]:
     """Register the typed views over the warehouse tables."""
     warehouse: Mapping[str, DataFrame] = {
         table: (
             lake.read("warehouse", table)
             if database is None
-            else jdbc.read_table(lake.spark, database, f"warehouse.{table}")
+            else jdbc.read_table(lake.spark, database, f"warehouse.{table}", slices.get(table))
         )
         for table in LOADS
     }
@@ -161,6 +194,11 @@ def run_tests(lake: Lake, database: jdbc.Database | None = None) -> DataFrame:
     return quality.quality_report(create_views(lake, database))
 
 
+def create_gold_views(lake: Lake, database: str) -> None:
+    """Define the SQL-variant gold views in the catalog, over the current silver tables."""
+    views.create_catalog_views(silver_tables(lake), database)
+
+
 def run_all(lake: Lake, source: Source, database: jdbc.Database | None = None) -> DataFrame:
     """Bronze to warehouse, then the test report.
 

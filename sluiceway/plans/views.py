@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluiceway.functions import clip_text
-from sluiceway.operators import row_key
+from sluiceway.operators import Scratch, row_key
 from sluiceway.operators.skew import HEAVY_ROWS
 from sluiceway.plans.concurrent import together
 from sluiceway.plans.gold import (
@@ -20,6 +20,7 @@ from sluiceway.plans.gold import (
     renamed,
 )
 from sluiceway.schemas import VIEWS
+from sluiceway.sources.catalog import create_database, create_table, refresh_catalog_table
 
 
 def typed_view(table: str, df: DataFrame) -> DataFrame:
@@ -106,3 +107,48 @@ def register_gold_views(silver: Mapping[str, DataFrame]) -> dict[str, DataFrame]
     for name, view in views.items():
         view.createOrReplaceTempView(f"gold_{name}")
     return views
+
+
+#: Key tables behind the catalog views, beside the sales they are looked up for.
+KEY_TABLES = ("customers_keyed", "products_keyed", "sales_cleaned")
+
+_CATALOG_VIEWS = {
+    "dim_customers": "SELECT * FROM `{database}`.customers_keyed",
+    "dim_products": "SELECT * FROM `{database}`.products_keyed",
+    "fact_sales": """
+        SELECT s.sls_ord_num AS order_number, p.product_key, c.customer_key,
+               s.sls_order_dt AS order_date, s.sls_ship_dt AS ship_date, s.sls_due_dt AS due_date,
+               s.sls_sales AS sales_amount, s.sls_quantity AS quantity, s.sls_price AS price
+        FROM `{database}`.sales_cleaned s
+        LEFT JOIN `{database}`.products_keyed p ON s.sls_prd_key = p.product_number
+        LEFT JOIN `{database}`.customers_keyed c ON s.sls_cust_id = c.customer_id""",
+}
+
+
+def create_catalog_views(silver: Mapping[str, DataFrame], database: str) -> None:
+    """Define the three SQL-variant views in the catalog, for every session that shares it.
+
+    A row number over the whole table is not a matter for each reader, so both dimensions are
+    numbered now and kept as tables; a second run refreshes them in place and the views follow.
+    The fact is a join that runs when the view is read. Unlike ``register_gold_views`` nothing
+    hangs on this session or on what it staged.
+    """
+    spark = silver["crm_cust_info"].sparkSession
+    create_database(spark, database)
+    with Scratch(spark, "catalog-views"):
+        numbered = together(
+            spark,
+            [
+                lambda: sql_dim_customers(
+                    silver["crm_cust_info"], silver["erp_cust_az12"], silver["erp_loc_a101"]
+                ),
+                lambda: sql_dim_products(silver["crm_prd_info"], silver["erp_px_cat_g1v2"]),
+            ],
+        )
+        for table, df in zip(KEY_TABLES, (*numbered, silver["crm_sales_details"]), strict=True):
+            if not spark.catalog.tableExists(f"`{database}`.`{table}`"):
+                create_table(spark, database, table, df.schema)
+            refresh_catalog_table(df, database, table)
+    for view, body in _CATALOG_VIEWS.items():
+        statement = body.format(database=database)
+        spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{view}` AS {statement}")

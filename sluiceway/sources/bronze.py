@@ -16,12 +16,22 @@ TABLES = tuple(BRONZE)
 
 @dataclass(frozen=True)
 class FileSource:
-    """Source extracts as delimited files below ``root``."""
+    """Source extracts as delimited files below ``root``.
+
+    ``multi_line`` is for files with line ends in quoted values. ``checked`` sets records that
+    do not fit the contract aside, instead of keeping what can be read of them.
+    """
 
     root: str
+    multi_line: bool = False
+    checked: bool = False
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
-        return files.read_source_file(spark, self.root, table)
+        return files.read_source_file(spark, self.root, table, self.multi_line)
+
+    def read_checked(self, spark: SparkSession, table: str) -> files.Checked:
+        path = files.source_path(self.root, table)
+        return files.read_checked(spark, path, BRONZE[table], self.multi_line)
 
 
 @dataclass(frozen=True)
@@ -32,7 +42,7 @@ class DatabaseSource:
     """
 
     database: jdbc.Database
-    slices: Mapping[str, jdbc.Slices] = field(default_factory=dict)
+    slices: Mapping[str, jdbc.Slices | jdbc.DepthSlices] = field(default_factory=dict)
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         if table in self.slices:
@@ -43,13 +53,26 @@ class DatabaseSource:
 Source = FileSource | DatabaseSource
 
 
+def declared(df: DataFrame, table: str) -> DataFrame:
+    """``df`` in the contract of ``table``; an error names columns that came or went.
+
+    A renamed or dropped source column would otherwise be found layers later, as nulls.
+    """
+    expected, got = BRONZE[table].names, df.columns
+    missing = [c for c in expected if c not in got]
+    surplus = [c for c in got if c not in expected]
+    if missing or surplus:
+        raise ValueError(f"{table}: missing columns {missing}, unknown columns {surplus}")
+    return enforce(df, BRONZE[table])
+
+
 def bronze_loader(table: str) -> Callable[[SparkSession, Source], DataFrame]:
     """The loader of one source table; its result has the bronze contract."""
     if table not in BRONZE:
         raise KeyError(f"unknown source table {table!r}")
 
     def load(spark: SparkSession, source: Source) -> DataFrame:
-        return enforce(source.read(spark, table), BRONZE[table])
+        return declared(source.read(spark, table), table)
 
     return load
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from datetime import date, datetime
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,6 +57,54 @@ class Slices:
         }
 
 
+def histogram_query(table: str, column: str, count: int) -> str:
+    """SQL for the smallest value of each of ``count`` buckets of equally many rows.
+
+    The database sorts and counts; ``count`` short rows come back, whatever the table's size.
+    """
+    return (
+        f"SELECT bucket, MIN({column}) AS low, COUNT(*) AS n FROM "
+        f"(SELECT {column}, NTILE({count}) OVER (ORDER BY {column}) AS bucket "
+        f"FROM {table} WHERE {column} IS NOT NULL) counted GROUP BY bucket"
+    )
+
+
+def literal(value: object) -> str:
+    """A value of a histogram as SQL."""
+    if isinstance(value, (int, float, Decimal)) and not isinstance(value, bool):
+        return str(value)
+    if isinstance(value, datetime):
+        return f"TIMESTAMP '{value.isoformat(sep=' ')}'"
+    if isinstance(value, date):
+        return f"DATE '{value.isoformat()}'"
+    return "'" + str(value).replace("'", "''") + "'"
+
+
+def depth_predicates(column: str, lows: Sequence[object]) -> list[str]:
+    """Conditions that cut a table at the buckets' smallest values; every row meets one.
+
+    Equal values begin several buckets where one value fills them; such buckets are one slice,
+    as no condition on the column can part them. Nulls and values below the first, written
+    after the histogram was taken, are in the first slice.
+    """
+    cuts = [literal(low) for low in sorted(set(lows))[1:]]
+    if not cuts:
+        return ["1 = 1"]
+    inner = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(cuts, cuts[1:])]
+    return [f"{column} < {cuts[0]} OR {column} IS NULL", *inner, f"{column} >= {cuts[-1]}"]
+
+
+@dataclass(frozen=True)
+class DepthSlices:
+    """Split a table read into about ``count`` queries of equally many rows on any column.
+
+    Unlike ``Slices`` it needs no bounds and gives even reads for a skewed column.
+    """
+
+    column: str
+    count: int
+
+
 def query_options(db: Database, query: str) -> dict[str, str]:
     return db.options() | {"query": query, "fetchsize": str(INSERT_BATCH)}
 
@@ -92,10 +142,17 @@ def read_query(spark: SparkSession, db: Database, query: str) -> DataFrame:
 
 
 def read_table(
-    spark: SparkSession, db: Database, table: str, slices: Slices | None = None
+    spark: SparkSession, db: Database, table: str, slices: Slices | DepthSlices | None = None
 ) -> DataFrame:
     """A whole table. With ``slices`` the executors read it in parallel, and column
     selections and filters are pushed to the database either way."""
+    if isinstance(slices, DepthSlices):
+        query = histogram_query(table, slices.column, slices.count)
+        lows = [row["low"] for row in read_query(spark, db, query).collect()]
+        named = {k: v for k, v in table_options(db, table).items() if k not in ("url", "dbtable")}
+        return spark.read.jdbc(
+            db.url, table, predicates=depth_predicates(slices.column, lows), properties=named
+        )
     return spark.read.format("jdbc").options(**table_options(db, table, slices)).load()
 
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from conftest import BATCH_TS
 
+from sluiceway.operators import release_scratch
 from sluiceway.plans import pipeline
 from sluiceway.schemas import SOURCE_FILES
 from sluiceway.sources.bronze import FileSource
@@ -65,3 +66,39 @@ def test_run_all_twice(spark, tmp_path, rows_of):
     assert records["crm_cust_info"] == 4
     assert records["silver_crm_cust_info"] == 2
     assert records["gold_fact_sales"] == records["fact_sales"] == 3
+
+
+def test_checked_source_lands_rejects_and_counts_them(spark, tmp_path, rows_of):
+    lake = pipeline.Lake.open(spark, str(tmp_path / "lake"), "shop", BATCH_TS)
+    extracts = source(tmp_path / "in")
+    loc = tmp_path / "in" / SOURCE_FILES["erp_loc_a101"]
+    loc.write_text(loc.read_text() + "AW-13\nAW-14,DE,more\n")
+    metrics = pipeline.load_bronze(lake, FileSource(extracts.root, checked=True))
+    records = {m["table_name"]: m["records"] for m in metrics}
+    assert records["erp_loc_a101"] == 3 and records["erp_loc_a101_rejects"] == 2
+    assert len(records) == 7
+    assert rows_of(lake.read("bronze", "erp_loc_a101_rejects"), "reason", "record") == [
+        ("fields", "AW-13"), ("fields", "AW-14,DE,more")
+    ]
+
+
+def test_catalog_views_outlive_the_session_and_its_scratch(spark, tmp_path, rows_of):
+    lake = pipeline.Lake.open(spark, str(tmp_path / "lake"), "shop", BATCH_TS)
+    pipeline.load_bronze(lake, source(tmp_path / "in"))
+    pipeline.load_silver(lake)
+    for _ in range(2):
+        pipeline.create_gold_views(lake, "shop_gold")
+        release_scratch(spark)
+        other = spark.newSession()
+        assert rows_of(other.table("shop_gold.fact_sales"), "order_number", "customer_key") == [
+            ("SO1", 1), ("SO2", 2), ("SO3", 2)
+        ]
+        assert other.table("shop_gold.dim_products").count() == 2
+
+
+def test_warehouse_with_declared_columns_only(spark, tmp_path):
+    lake = pipeline.Lake.open(spark, str(tmp_path / "lake"), "shop", BATCH_TS)
+    pipeline.run_all(lake, source(tmp_path / "in"))
+    pipeline.load_warehouse(lake, columns={"dim_customer": ["customer_key", "country"]})
+    assert lake.read("warehouse", "dim_customer").columns == ["customer_key", "country"]
+    assert len(lake.read("warehouse", "dim_product").columns) > 5

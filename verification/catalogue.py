@@ -4,20 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluiceway import configure
 from sluiceway.operators import stage
 from sluiceway.operators.staging import scratch_dir
-from sluiceway.plans import gold, quality, silver, views, warehouse
+from sluiceway.plans import gold, pipeline, quality, silver, views, warehouse
 from sluiceway.plans.concurrent import together
 from sluiceway.plans.metrics import table_metrics
 from sluiceway.schemas import AUDIT_COLUMN, BRONZE, WAREHOUSE
+from sluiceway.sources.bronze import FileSource
 from sluiceway.sources.catalog import create_tables, refresh_catalog_table
-from sluiceway.sources.files import CSV_OPTIONS, read_delimited
+from sluiceway.sources.files import CSV_OPTIONS, read_delimited, source_path
 from sluiceway.sources.lake import (
     lake_path,
     read_table,
@@ -242,6 +244,176 @@ def _run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _dtypes(types: str) -> Column:
+    """The recorded column types as text; a map has no order, so by name."""
+    pair = F.transform(F.map_entries(types), lambda e: F.concat(e["key"], F.lit(":"), e["value"]))
+    return F.array_join(F.sort_array(pair), ",")
+
+
+def _run_metrics_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver tables written to a lake, their figures taken during the write and read back."""
+    lake = pipeline.Lake.open(spark, _new_lake(spark), "shop", BATCH_TS)
+    lake.record(
+        together(
+            spark,
+            [
+                lambda name=name, table=table: lake.write(
+                    "silver", name, _silver(spark, sf_dir, table).drop(AUDIT_COLUMN)
+                )
+                for name, table in _METRIC_NAMES.items()
+            ],
+        )
+    )
+    return lake.read("metrics", "run_metrics").select(
+        "table_name", "records", _dtypes("column_dtypes").alias("column_dtypes")
+    )
+
+
+def _exported(table: DataFrame, path: str) -> None:
+    """A table as a delimited file with every value quoted, as an extract of a shop system."""
+    keep = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    export = {k: v for k, v in CSV_OPTIONS.items() if k != "mode"} | keep | {"quoteAll": "true"}
+    table.write.options(**export).csv(path)
+
+
+def _profile(df: DataFrame, table: str) -> DataFrame:
+    """Per column the numbers of rows, values and different values, and the extremes as text."""
+    figures = [
+        F.struct(
+            F.lit(table).alias("table_name"),
+            F.lit(c).alias("column_name"),
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count(c).alias("n_values"),
+            F.count_distinct(c).alias("n_distinct"),
+            F.min(c).cast("string").alias("least"),
+            F.max(c).cast("string").alias("greatest"),
+        )
+        for c in df.columns
+    ]
+    return df.agg(F.array(*figures).alias("figures")).select(F.inline("figures"))
+
+
+def _bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All six extracts as files, landed by the bronze loaders, profiled as landed."""
+    lake = pipeline.Lake.open(spark, _new_lake(spark), "shop", BATCH_TS)
+    root = _new_lake(spark)
+    together(
+        spark,
+        [
+            lambda t=table: _exported(_bronze(spark, sf_dir, t), source_path(root, t))
+            for table in BRONZE
+        ],
+    )
+    pipeline.load_bronze(lake, FileSource(root, multi_line=True))
+    return reduce(
+        DataFrame.unionByName, [_profile(lake.read("bronze", table), table) for table in BRONZE]
+    )
+
+
+# Column of each table that gets a text its type cannot hold, where there is one.
+_UNFIT = {
+    "crm_cust_info": "cst_id",
+    "crm_prd_info": "prd_cost",
+    "crm_sales_details": "sls_cust_id",
+    "erp_cust_az12": "bdate",
+}
+
+
+def _faulty_lines(df: DataFrame, table: str) -> DataFrame:
+    """Lines of a delimited file, some with faults set by the length of the line."""
+
+    def text(name: str) -> Column:
+        value = F.regexp_replace(F.col(name).cast("string"), "[\r\t]", "")
+        return F.coalesce(value, F.lit("\\N"))
+
+    fine = F.concat_ws(",", *map(text, df.columns))
+    unfit = F.concat_ws(
+        ",", *[F.lit("n/a") if c == _UNFIT.get(table) else text(c) for c in df.columns]
+    )
+    fault = F.length(fine) % 16
+    return df.select(
+        F.when(fault == 3, F.concat(fine, F.lit(",surplus")))
+        .when(fault == 5, F.regexp_replace(fine, ",[^,]*$", ""))
+        .when(fault == 7, unfit)
+        .when(fault == 9, F.concat(fine, F.lit('"')))
+        .otherwise(fine)
+        .alias("line")
+    )
+
+
+def _csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected records of all six extracts, with what was landed of each."""
+    lake = pipeline.Lake.open(spark, _new_lake(spark), "shop", BATCH_TS)
+    root = _new_lake(spark)
+    plain = {"header": "true", "quote": "", "sep": "\x01", "escapeQuotes": "false"}
+    blanks = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    together(
+        spark,
+        [
+            lambda t=table: _faulty_lines(_bronze(spark, sf_dir, t), t)
+            .write.options(**plain, **blanks)
+            .csv(source_path(root, t))
+            for table in BRONZE
+        ],
+    )
+    metrics = pipeline.load_bronze(lake, FileSource(root, checked=True))
+    landed = {m["table_name"]: m["records"] for m in metrics}
+    return reduce(
+        DataFrame.unionByName,
+        [
+            lake.read("bronze", f"{table}{pipeline.REJECTED_SUFFIX}").select(
+                F.lit(table).alias("table_name"),
+                "reason",
+                "record",
+                F.lit(landed[table]).cast("bigint").alias("landed"),
+            )
+            for table in BRONZE
+            if f"{table}{pipeline.REJECTED_SUFFIX}" in landed
+        ],
+    )
+
+
+def _lake_window_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three yearly windows, written at the same time, two of them read back by time range."""
+    path = lake_path(_new_lake(spark), "shop", "silver", "sales_by_year")
+    sales = _silver(spark, sf_dir, "crm_sales_details").select("sls_ord_num", "sls_ship_dt")
+    sales = stage(sales, "sales")
+
+    def window(year: int) -> tuple[datetime, datetime]:
+        return datetime(year, 1, 1), datetime(year + 1, 1, 1)
+
+    together(
+        spark,
+        [
+            lambda y=y: write_window(sales.where(F.year("sls_ship_dt") == y), path, *window(y))
+            for y in (1995, 1996, 1997)
+        ],
+    )
+    return read_windows(spark, path, [window(1995), window(1997)])
+
+
+def _audit_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stamped rows of every silver and gold table."""
+    tables = {table: _silver(spark, sf_dir, table) for table in _CLEANERS}
+    tables |= _gold_tables(spark, sf_dir)
+    return reduce(
+        DataFrame.unionByName,
+        [
+            df.groupBy(F.date_format(AUDIT_COLUMN, "yyyy-MM-dd HH:mm:ss").alias("stamp"))
+            .agg(F.count(F.lit(1)).alias("records"))
+            .select(F.lit(table).alias("table_name"), "stamp", "records")
+            for table, df in tables.items()
+        ],
+    )
+
+
+def _catalog_view_fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gold schema's fact view as another session of the application reads it."""
+    database = f"gold_{uuid4().hex}"
+    views.create_catalog_views({t: _silver(spark, sf_dir, t) for t in SHAPES}, database)
+    return spark.newSession().table(f"{database}.fact_sales")
+
+
 QUERIES: dict[str, Query] = {
     "silver_customers": _silver_query("crm_cust_info"),
     "silver_customers_coalesced": _coalesced_customers,
@@ -272,4 +444,10 @@ QUERIES: dict[str, Query] = {
     "warehouse_replace": _warehouse_replace,
     "warehouse_refresh": _warehouse_refresh,
     "run_metrics": _run_metrics,
+    "run_metrics_observed": _run_metrics_observed,
+    "bronze_ingest": _bronze_ingest,
+    "csv_rejects": _csv_rejects,
+    "lake_window_read": _lake_window_read,
+    "audit_stamp": _audit_stamp,
+    "catalog_view_fact_sales": _catalog_view_fact_sales,
 }

@@ -6,6 +6,8 @@ cleaned forms, the dimensions, then the query itself.
 
 from __future__ import annotations
 
+from sluiceway.schemas import BRONZE
+
 _CATEGORY = "upper(substr(p_type, 1, 2)) || '-' || upper(substr(p_name, 1, 2))"
 _START = "(DATE '2010-01-01' + CAST((p_partkey // 2) % 3650 AS INTEGER))"
 _MIXED = "(k * 7 + p * 3 + n)"
@@ -378,11 +380,69 @@ _DTYPES = {
     "categories": "id:string,cat:string,subcat:string,maintenance:string",
 }
 
-_METRICS = " UNION ALL ".join(
-    f"SELECT '{t}' AS table_name, count(*) AS records, '{d}' AS column_dtypes FROM {t}"
-    for t, d in _DTYPES.items()
+
+
+def _figures(dtypes: dict[str, str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS records, '{d}' AS column_dtypes FROM {t}"
+        for t, d in dtypes.items()
+    )
+
+
+_METRICS = _figures(_DTYPES)
+_METRICS_BY_NAME = _figures({t: ",".join(sorted(d.split(","))) for t, d in _DTYPES.items()})
+
+# Columns of the source extracts, in the order of the files.
+_SOURCE_COLUMNS = {table: schema.names for table, schema in BRONZE.items()}
+
+_BRONZE_PROFILE = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS n_rows,"
+    f" count({c}) AS n_values, count(DISTINCT {c}) AS n_distinct,"
+    f" CAST(min({c}) AS VARCHAR) AS least, CAST(max({c}) AS VARCHAR) AS greatest FROM {t}"
+    for t, columns in _SOURCE_COLUMNS.items()
+    for c in columns
 )
 
+_UNFIT = {
+    "crm_cust_info": "cst_id",
+    "crm_prd_info": "prd_cost",
+    "crm_sales_details": "sls_cust_id",
+    "erp_cust_az12": "bdate",
+}
+
+
+def _rejects(table: str, columns: list[str]) -> str:
+    def text(c: str) -> str:
+        return f"coalesce(regexp_replace(CAST({c} AS VARCHAR), '[\r\t]', '', 'g'), '\\N')"
+
+    fine = " || ',' || ".join(map(text, columns))
+    bad = _UNFIT.get(table)
+    unfit = " || ',' || ".join("'n/a'" if c == bad else text(c) for c in columns)
+    reason = f"WHEN 7 THEN 'value: {bad}'" if bad else ""
+    return f"""
+        SELECT '{table}' AS table_name, reason, record, landed FROM (
+            SELECT CASE length(fine) % 16 WHEN 3 THEN 'fields' WHEN 5 THEN 'fields'
+                        {reason} WHEN 9 THEN 'quote' END AS reason,
+                   CASE length(fine) % 16 WHEN 3 THEN fine || ',surplus'
+                        WHEN 5 THEN regexp_replace(fine, ',[^,]*$', '')
+                        WHEN 7 THEN unfit WHEN 9 THEN fine || '"' ELSE fine END AS record,
+                   count(*) FILTER (reason IS NULL) OVER () AS landed
+            FROM (SELECT {fine} AS fine, {unfit} AS unfit FROM {table}))
+        WHERE reason IS NOT NULL"""
+
+
+_STAMPED = {
+    "crm_cust_info": "customers",
+    "crm_prd_info": "products",
+    "crm_sales_details": "sales",
+    "erp_cust_az12": "demographics",
+    "erp_loc_a101": "locations",
+    "erp_px_cat_g1v2": "categories",
+    "dim_customer": "dim_customer",
+    "dim_product": "dim_product",
+    "fact_sales": "fact_sales",
+}
+
 _STATEMENTS = {**SOURCES, **SILVER, **GOLD, **SQL_VIEWS, **WAREHOUSE}
 
 # Query name -> its final SELECT, where the name is not itself a table above.
@@ -402,6 +462,19 @@ _QUERIES: dict[str, str] = {
     "warehouse_replace": "SELECT customer_key, customer_id, country FROM wh_dim_customer",
     "warehouse_refresh": "SELECT * FROM wh_dim_product",
     "run_metrics": _METRICS,
+    "run_metrics_observed": _METRICS_BY_NAME,
+    "bronze_ingest": _BRONZE_PROFILE,
+    "csv_rejects": " UNION ALL ".join(_rejects(t, c) for t, c in _SOURCE_COLUMNS.items()),
+    "lake_window_read": """
+        SELECT sls_ord_num, sls_ship_dt,
+               CAST(year(sls_ship_dt) AS VARCHAR) || '0101000000_'
+                    || CAST(year(sls_ship_dt) + 1 AS VARCHAR) || '0101000000' AS window_id
+        FROM sales WHERE year(sls_ship_dt) IN (1995, 1997)""",
+    "audit_stamp": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '2026-01-01 00:00:00' AS stamp, count(*) AS records FROM {c}"
+        for t, c in _STAMPED.items()
+    ),
+    "catalog_view_fact_sales": "SELECT * FROM view_fact_sales",
 }
 
 
