@@ -10,7 +10,8 @@ least as typical of a format as all but the oddest training credentials, and lik
 than as ordinary text.
 
 Fitting uses a bounded sample of labelled strings, drawn by hash over the whole table:
-``SAMPLE`` credentials of each kind and as many ordinary words. Scanning covers every text.
+``SAMPLE`` credentials of each kind and as many ordinary words, of up to ``LONGEST`` symbols.
+Scanning covers every text, and candidates of any length.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
@@ -36,6 +37,8 @@ from sluiceway.llm.texts import Worker, bounded_batches, quoted, text_udf, with_
 
 #: Labelled strings of each kind that the automata are fitted on, at most.
 SAMPLE = 600
+#: Longer strings are scored, but no automaton is fitted on them.
+LONGEST = 4096
 #: Confidence of the compatibility test; smaller merges more.
 ALPHA = 0.05
 #: States seen in fewer strings than this are too rare to tell apart and count as compatible.
@@ -55,7 +58,7 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 # What can be a secret without a key word before it: long and without dots at its ends.
-_CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,200}(?![A-Za-z0-9+/_=-])")
+_CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
 
 
 def base_spans(text: str) -> list[tuple[str, int, int, int]]:
@@ -71,6 +74,19 @@ def base_spans(text: str) -> list[tuple[str, int, int, int]]:
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
+def free_candidates(
+    text: str, spans: list[tuple[str, int, int, int]]
+) -> Iterator[re.Match[str]]:
+    """Candidates that touch none of the ``spans``, which are sorted by start."""
+    at, reached = 0, 0
+    for m in _CANDIDATE.finditer(text):
+        while at < len(spans) and spans[at][1] < m.end():
+            reached = max(reached, spans[at][2])
+            at += 1
+        if reached <= m.start():
+            yield m
+
+
 _CLASS = str.maketrans(
     {c: "d" for c in "0123456789"}
     | {c: "h" for c in "abcdef"}
@@ -233,10 +249,8 @@ def _labelled_worker() -> Worker:
     def one(text: str) -> list[dict[str, str]]:
         spans = base_spans(text)
         out = [{"label": kind, "value": text[value:end]} for kind, _, end, value in spans]
-        for m in _CANDIDATE.finditer(text):
-            if not any(s < m.end() and m.start() < e for _, s, e, _ in spans):
-                return [*out, {"label": "", "value": m[0]}]
-        return out
+        ordinary = next(free_candidates(text, spans), None)
+        return out if ordinary is None else [*out, {"label": "", "value": ordinary[0]}]
 
     return lambda texts: {"strings": [one(t) for t in texts]}
 
@@ -245,27 +259,24 @@ def fit_formats(df: DataFrame, text: str, sample: int = SAMPLE) -> Formats:
     """Infer the formats from the credentials that the base patterns label in ``df``.
 
     At most ``sample`` distinct strings of each label reach the driver, those of smallest
-    hash, so the fit does not depend on the order or number of partitions.
+    hash, so the fit does not depend on the order or number of partitions. One pass over the
+    texts; tasks keep their ``sample`` smallest of a label before anything is ranked.
     """
     bounded_batches(df.sparkSession)
     strings = StructType([StructField("strings", ArrayType(_LABELLED))])
     found = text_udf(_labelled_worker, strings)(F.col(quoted(text)).cast("string"))
-    distinct = (
+    rank = F.row_number().over(Window.partitionBy("label").orderBy("h", "value"))
+    drawn = (
         df.select(F.explode(found["strings"]).alias("s"))
-        .select("s.label", F.substring("s.value", 1, 200).alias("value"))
-        .groupBy("label", "value")
-        .agg(F.count("*").alias("n"))
+        .select("s.label", "s.value")
+        .where(F.length("value") <= LONGEST)
+        .distinct()
         .withColumn("h", F.xxhash64("value"))
+        .withColumn("rank", rank)
+        .where(F.col("rank") <= sample)
     )
     chosen: dict[str, list[str]] = {}
-    per_label = [
-        distinct.where(F.col("label") == label).orderBy("h", "value").limit(sample)
-        for label in (*KINDS, "")
-    ]
-    together = per_label[0]
-    for other in per_label[1:]:
-        together = together.unionByName(other)
-    for row in together.collect():
+    for row in drawn.collect():
         chosen.setdefault(row["label"], []).append(classes(row["value"]))
 
     credentials = []
@@ -294,9 +305,7 @@ def find_spans(text: str, formats: Formats) -> Iterator[tuple[str, int, int, flo
     found: list[tuple[str, int, int, float | None]] = []
     for kind, start, end, value in base:
         found.append((kind, start, end, formats.score(text[value:end])))
-    for m in _CANDIDATE.finditer(text) if formats.credentials else ():
-        if any(s < m.end() and m.start() < e for _, s, e, _ in base):
-            continue
+    for m in free_candidates(text, base) if formats.credentials else ():
         score = formats.score(m[0])
         if score is not None:
             found.append((INFERRED, m.start(), m.end(), score))
