@@ -15,10 +15,11 @@ Everything else covers whole texts.
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
+from zlib import crc32
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -46,7 +47,7 @@ NONE = "und"
 
 # Letters; longer runs (scripts without spaces) are taken in pieces.
 _WORD = re.compile(r"[^\W\d_]{1,24}")
-_AFFIXES, _GRAMS = (1, 2, 3, 4), (2, 3)
+_AFFIXES, _GRAMS = (1, 2, 3, 4), (3,)
 
 # Words of a training sequence; mean length of a run of one language in mixed ones; their share.
 _SEQUENCE, _RUN, _MIXED = 32, 8, 0.3
@@ -59,12 +60,14 @@ _LONG_TEXT = 1 << 20
 
 
 def hashed_features(word: str) -> list[int]:
-    """Buckets of the affixes and n-grams of a lower-case word."""
-    marked = f"^{word}$"
-    names = {marked[: n + 1] for n in _AFFIXES if n <= len(word)}
-    names |= {marked[-n - 1 :] for n in _AFFIXES if n <= len(word)}
-    names |= {marked[i : i + n] for n in _GRAMS for i in range(len(marked) - n + 1)}
-    return [zlib.crc32(name.encode("utf-8", "replace")) % BUCKETS for name in names]
+    """Buckets of the affixes and n-grams of a lower-case word, taken on its UTF-8 bytes."""
+    marked = f"^{word}$".encode("utf-8", "replace")
+    size = len(marked)
+    names = {marked[: n + 1] for n in _AFFIXES if n < size - 1}
+    names.update([marked[-n - 1 :] for n in _AFFIXES if n < size - 1])
+    for n in _GRAMS:
+        names.update([marked[i : i + n] for i in range(size - n + 1)])
+    return [crc32(name) % BUCKETS for name in names]
 
 
 @dataclass
@@ -243,17 +246,31 @@ class _Rows(dict):
         self.sizes = np.zeros(1024)
 
     def __missing__(self, word: str) -> int:
-        row = -1
-        if any(map(str.isalpha, word)):
-            row = self.used
-            self.used += 1
-            if row == len(self.table):
-                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-                self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
-            self.table[row] = self.field.weights[self.field.features(word)].sum(axis=0)
-            self.sizes[row] = len(word)
-        self[word] = row
-        return row
+        self.learn([word])
+        return self[word]
+
+    def learn(self, words: Iterable[str]) -> None:
+        """Rows of new, different words, their features summed together."""
+        new = []
+        for word in words:
+            if word.isalpha() or any(map(str.isalpha, word)):
+                self[word] = self.used + len(new)
+                new.append(word)
+            else:
+                self[word] = -1
+        if not new:
+            return
+        begin, end = self.used, self.used + len(new)
+        if end > len(self.table):
+            more = max(end, 2 * len(self.table)) - len(self.table)
+            self.table = np.concatenate([self.table, np.zeros((more, self.table.shape[1]))])
+            self.sizes = np.concatenate([self.sizes, np.zeros(more)])
+        features = [self.field.features(word) for word in new]
+        starts = np.cumsum([0, *map(len, features)])[:-1]
+        flat = np.fromiter(chain.from_iterable(features), np.int64)
+        self.table[begin:end] = np.add.reduceat(self.field.weights[flat], starts, axis=0)
+        self.sizes[begin:end] = list(map(len, new))
+        self.used = end
 
 
 class _Tagger:
@@ -270,7 +287,9 @@ class _Tagger:
     def _words(self, text: str) -> np.ndarray:
         """Table rows of a text's words."""
         if len(text) < _LONG_TEXT:
-            rows = np.array(list(map(self._rows.__getitem__, _WORD.findall(text))), np.int32)
+            words = _WORD.findall(text)
+            self._rows.learn([w for w in set(words) if w not in self._rows])
+            rows = np.array(list(map(self._rows.__getitem__, words)), np.int32)
         else:
             rows = np.fromiter((self._rows[m.group()] for m in _WORD.finditer(text)), np.int32)
         return rows[rows >= 0]

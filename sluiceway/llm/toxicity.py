@@ -30,18 +30,22 @@ FACTORS = 6
 SAMPLE_PER_LABEL = 4000
 #: A bucket takes part in the model if it occurs in so many texts of the sample.
 LEAST_TEXTS = 3
-#: Buckets in the model at most: those whose presence tells most about the label.
+#: Buckets in the model at most: those that tell most about the label, alone or in a pair.
 MODEL_TERMS = 6000
+#: Buckets among which pairs are tested, the most frequent of the sample.
+PAIR_TERMS = 3000
 #: Letters of the word beginnings that are terms of their own.
 BEGINNINGS = (4, 5, 6, 8)
-#: Chance, over all buckets of the sample together, that a term without any bearing on the
-#: label enters the model. Without such a bound thousands of rare words are learned by heart.
+#: Number of buckets, and of pairs, without any bearing on the label that may enter the model by
+#: chance. Without such a bound thousands of rare words are learned by heart.
 FALSE_TERMS = 1.0
 
 _EPOCHS = 40
 _BATCH = 128
 _RATE = 0.05
 _SHRINK = 1e-4
+# Buckets whose pairs with all others are counted at a time.
+_PAIR_BLOCK = 500
 _WORD = re.compile(r"\w+")
 _MAX_REMEMBERED = 300_000
 
@@ -88,37 +92,68 @@ class Machine:
         return 1.0 / (1.0 + np.exp(-np.clip(self.bias + sums, -30, 30)))
 
 
+def _ratio(seen: np.ndarray, marked: np.ndarray, texts: float, positive: float) -> np.ndarray:
+    """Likelihood-ratio statistic of presence against label: ``marked`` of ``seen`` have label 1."""
+    total = np.zeros(np.shape(seen))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        for share, here in ((positive / texts, marked), (1 - positive / texts, seen - marked)):
+            label_texts = texts * share
+            for found, row in ((here, seen), (label_texts - here, texts - seen)):
+                total += np.where(found > 0, 2 * found * np.log(found / (row * share)), 0.0)
+    return total
+
+
 def _telling(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
-    """Buckets whose presence bears on the label, by likelihood-ratio test, best ones first.
+    """Buckets that bear on the label, alone or in a pair with another, best ones first.
 
     The statistic is chi-square with one degree of freedom, whose tail beyond ``x`` is below
     ``exp(-x / 2)``; so beyond ``2 log(tested / FALSE_TERMS)`` fewer than ``FALSE_TERMS`` of
-    the tested buckets get in by chance.
+    the tested buckets, or pairs, get in by chance. Pairs are tested among the ``PAIR_TERMS``
+    most frequent buckets: two terms that are harmful, or harmless, only together need not
+    say anything on their own.
     """
-
-    def counts(value: int) -> np.ndarray:
-        chosen = [r for r, label in zip(rows, labels) if label == value]
-        joined = np.concatenate(chosen) if chosen else np.zeros(0, np.int32)
-        return np.bincount(joined, minlength=BUCKETS).astype(np.float64)
-
-    present = {value: counts(value) for value in (0, 1)}
-    texts = {value: float((labels == value).sum()) for value in (0, 1)}
-    total = present[0] + present[1]
-    statistic = np.zeros(BUCKETS)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        for value in (0, 1):
-            for seen, row in ((present[value], total), (texts[value] - present[value], len(rows) - total)):
-                expected = row * texts[value] / max(1, len(rows))
-                statistic += np.where(seen > 0, 2 * seen * np.log(seen / expected), 0.0)
-    statistic[total < LEAST_TEXTS] = 0.0
-    tested = max(1, int((total >= LEAST_TEXTS).sum()))
-    best = np.argsort(-statistic, kind="stable")[:MODEL_TERMS]
-    return np.sort(best[statistic[best] > 2 * np.log(max(1.0, tested / FALSE_TERMS))])
+    texts, positive = float(len(rows)), float(labels.sum())
+    joined = np.concatenate([*rows, np.zeros(0, np.int32)])
+    marks = np.repeat(labels == 1, list(map(len, rows)))
+    seen = np.bincount(joined, minlength=BUCKETS).astype(np.float64)
+    marked = np.bincount(joined[marks], minlength=BUCKETS).astype(np.float64)
+    statistic = np.where(seen >= LEAST_TEXTS, _ratio(seen, marked, texts, positive), 0.0)
+    tested = max(1, int((seen >= LEAST_TEXTS).sum()))
+    statistic[statistic <= 2 * np.log(max(1.0, tested / FALSE_TERMS))] = 0.0
+
+    frequent = np.argsort(-seen, kind="stable")[:PAIR_TERMS]
+    # A bucket of every text makes no pair that says more than the other alone.
+    frequent = frequent[(seen[frequent] >= LEAST_TEXTS) & (seen[frequent] < texts)]
+    place = np.full(BUCKETS, -1, np.int64)
+    place[frequent] = np.arange(len(frequent))
+    present = np.zeros((len(rows), len(frequent)), np.float32)
+    for i, row in enumerate(rows):
+        at = place[row]
+        present[i, at[at >= 0]] = 1.0
+    pairs = len(frequent) * (len(frequent) - 1) / 2
+    least = 2 * np.log(max(1.0, pairs / FALSE_TERMS))
+    harmful = present[labels == 1]
+    for begin in range(0, len(frequent), _PAIR_BLOCK):
+        block = slice(begin, begin + _PAIR_BLOCK)
+        both = (present[:, block].T @ present).astype(np.float64)
+        both_marked = (harmful[:, block].T @ harmful).astype(np.float64)
+        own = np.arange(both.shape[0])
+        both[own, begin + own] = 0.0
+        # What the pair tells beyond the better of its two terms.
+        alone = _ratio(seen[frequent], marked[frequent], texts, positive)
+        gain = np.where(both >= LEAST_TEXTS, _ratio(both, both_marked, texts, positive), 0.0)
+        gain -= np.maximum(alone[block][:, None], alone[None, :])
+        best = gain.max(axis=1)
+        here = frequent[block]
+        statistic[here] = np.maximum(statistic[here], np.where(best > least, best, 0.0))
+    order = np.argsort(-statistic, kind="stable")[:MODEL_TERMS]
+    return np.sort(order[statistic[order] > 0])
 
 
 def fit(rows: list[np.ndarray], labels: np.ndarray, seed: int = 17) -> Machine:
     """Adaptive stochastic gradient descent on the logistic loss, both labels weighing the same."""
-    known = _telling(rows, labels)
+    both_labels = 0 < labels.sum() < len(labels)
+    known = _telling(rows, labels) if both_labels else np.zeros(0, np.int64)
     place = np.full(BUCKETS, -1, np.int32)
     place[known] = np.arange(len(known), dtype=np.int32)
     rng = np.random.default_rng(seed)
