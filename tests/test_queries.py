@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import sys
+
 import pytest
 
 import __spark_entry__ as contract
@@ -24,6 +26,18 @@ def test_every_query_has_its_expected_sql():
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
+@pytest.mark.parametrize("missing", ["xxhash", "sluiceway.llm", "corpus_pipeline", "public_tokenizers"])
+def test_queries_without_the_training_data_part(monkeypatch, missing):
+    for module in [m for m in sys.modules if m.split(".")[0] == "corpus_pipeline" or "llm" in m]:
+        monkeypatch.delitem(sys.modules, module)
+    monkeypatch.delattr("sluiceway.llm", raising=False)
+    monkeypatch.setitem(sys.modules, missing, None)
+    with pytest.warns(UserWarning, match="without training-data queries"):
+        assert set(contract.queries()) == set(catalogue.QUERIES)
+    with pytest.warns(UserWarning, match="without training-data queries"):
+        assert set(contract.oracle_sql()) == set(catalogue.QUERIES)
+
+
 @pytest.mark.parametrize("name", catalogue.QUERIES)
 def test_query(spark, con, name):
     assert differences(spark, con, name, SF_DIR) == ""
