@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.llm.texts import quoted
+from sluiceway.llm.texts import fresh, quoted
 from sluiceway.operators import dense_key, stage
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -112,21 +112,27 @@ def plan_mix(
     named like an output column are replaced.
     """
     names = ("size", *PLAN, "copies")
-    sized = df.withColumn("_size", n_words(F.col(quoted(text)).cast("string")))
-    rates = plan_rates(
-        sized.select(F.col(quoted(source)).alias("_source"), "_size"),
-        "_source", "_size", weights, share, most,
-    )
-    joined = sized.join(rates, sized[quoted(source)].eqNullSafe(rates["_source"]), "left")
+    size, own = fresh(df, "size", "source")
+    kept = [F.col(quoted(c)) for c in df.columns if c not in names]
+    inputs = {c: F.col(quoted(c)) for c in (key, source)}
+    drawn, by = fresh(df, "draw", "by")
+    sized = df.select(
+        *kept,
+        n_words(F.col(quoted(text)).cast("string")).alias(size),
+        inputs[source].alias(by),
+        draw(inputs[key], seed).alias(drawn),
+    )
+    rates = plan_rates(sized.select(F.col(by).alias(own), size), own, size, weights, share, most)
+    joined = sized.join(rates, F.col(by).eqNullSafe(F.col(own)), "left")
     fraction = F.col("rate") - F.floor("rate")
-    extra = (draw(F.col(quoted(key)), seed) < fraction).cast("long")
-    kept = [df[quoted(c)] for c in df.columns if c not in names]
+    extra = (F.col(drawn) < fraction).cast("long")
     return joined.select(
-        *kept, F.col("_size").alias("size"), *PLAN, (F.floor("rate") + extra).alias("copies")
+        *kept, F.col(size).alias("size"), *PLAN, (F.floor("rate") + extra).alias("copies")
     )
 
 
 def repeat_rows(df: DataFrame, copies: str) -> DataFrame:
     """Every row as often as its column ``copies`` says, without that column."""
     times = F.explode(F.array_repeat(F.lit(0).cast("byte"), F.col(quoted(copies)).cast("int")))
-    return df.withColumn("_copy", times).drop("_copy", copies)
+    (copy,) = fresh(df, "copy")
+    return df.withColumn(copy, times).drop(copy, copies)

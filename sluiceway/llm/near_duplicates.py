@@ -448,7 +448,7 @@ def keep_one(df: DataFrame, key: str, text: str) -> DataFrame:
     """
     found = classes(df, text)
     whole = F.coalesce(F.col(quoted(text)).cast("string"), F.lit(""))
-    same, own = fresh(df, "same_text", "own_key")
+    same, own, here = fresh(df, "same_text", "own_key", "this_text")
     ids = df.select(F.col(quoted(key)).alias("own"), _text_id(whole).alias("id"))
     kept = stage(
         ids.join(found, "id", "left")
@@ -461,9 +461,9 @@ def keep_one(df: DataFrame, key: str, text: str) -> DataFrame:
     row, wanted = F.struct(*columns), F.col(quoted(key)).eqNullSafe(F.col(own))
     # Texts are dealt once: the rows of a text stay together for the last choice.
     chosen = (
-        df.withColumn(f"{same}_here", _text_id(whole))
-        .join(kept, (F.col(f"{same}_here") == F.col(same)) & wanted, "left_semi")
-        .groupBy(f"{same}_here")
+        df.withColumn(here, _text_id(whole))
+        .join(kept, (F.col(here) == F.col(same)) & wanted, "left_semi")
+        .groupBy(here)
         .agg(F.min(row).alias("row"))
     )
     return chosen.select(*[F.col("row")[c].alias(c) for c in df.columns])
