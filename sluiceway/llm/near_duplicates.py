@@ -70,11 +70,9 @@ _random = np.random.default_rng(20240229)
 _MULTIPLIERS = _random.integers(0, 1 << 31, SKETCHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _OFFSETS = _random.integers(0, 1 << 32, SKETCHES, dtype=np.uint32)
 _SPREAD = np.uint32(0x9E3779B1)
-# Bins to a number: eight bits each, and the sign stays out of it.
-_LANES = 7
-_LANE_SHIFTS = np.arange(_LANES, dtype=np.int64) * 8
-_TOPS = sum(0x80 << 8 * k for k in range(_LANES))
-_EVEN = sum(0xFF << 16 * k for k in range(4))
+# A bin's count up to ``_LEVELS`` is as many bits; so many bins to a number, the sign stays out.
+_LEVELS, _LANES = 7, 9
+_LANE_SHIFTS = np.arange(_LANES, dtype=np.int64) * _LEVELS
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -212,25 +210,33 @@ def alike(a: str, b: str, least: float = SIMILARITY) -> bool:
 _SKETCH = StructType(
     [
         StructField("n", IntegerType()),
+        StructField("counted", IntegerType()),
         StructField("bins", ArrayType(LongType())),
         StructField("keys", ArrayType(LongType())),
     ]
 )
 
 
-def binned(own: np.ndarray) -> list[int]:
-    """Numbers of words in ``BINS`` bins, at most 127, seven to a 64-bit number."""
+def binned(own: np.ndarray) -> tuple[int, list[int]]:
+    """Numbers of words in ``BINS`` bins, seven at most: their sum, and nine to a 64-bit number.
+
+    A number of words stands as that many bits, so what one text has more than another is a
+    count of bits.
+    """
     counts = np.bincount((own % np.uint64(BINS)).astype(np.int64), minlength=BINS)
-    packed = np.minimum(counts, 127).reshape(-1, _LANES) << _LANE_SHIFTS
-    return packed.sum(axis=1).tolist()
+    counts = np.minimum(counts, _LEVELS)
+    packed = ((1 << counts.reshape(-1, _LANES)) - 1) << _LANE_SHIFTS
+    return int(counts.sum()), packed.sum(axis=1).tolist()
 
 
 def _sketch_worker() -> Worker:
     def work(texts: list[str]) -> dict[str, list[Any]]:
         hashed = [word_hashes(_WORD.findall(t)) for t in texts]
+        bins = list(map(binned, hashed))
         return {
             "n": list(map(len, hashed)),
-            "bins": list(map(binned, hashed)),
+            "counted": [counted for counted, _ in bins],
+            "bins": [packed for _, packed in bins],
             "keys": [sketches(shingles(h)) for h in hashed],
         }
 
@@ -250,35 +256,24 @@ def _text_id(text: Column) -> Column:
 
 
 def _lacking(a: Column, b: Column) -> Column:
-    """Sum over all bins of what ``a`` has more than ``b``, seven bins at a time.
-
-    With the lanes' top bits set, a difference borrows from no other lane, and the top bit of
-    its lane stays where it is not negative.
-    """
-    total = F.lit(0).cast("bigint")
+    """Words that ``a`` has more than ``b``, by their bins; never more than there are."""
+    total = F.lit(0)
     for at in range(BINS // _LANES):
-        gap = a[at].bitwiseOR(F.lit(_TOPS)) - b[at]
-        top = gap.bitwiseAND(F.lit(_TOPS))
-        more = gap.bitwiseAND(top - F.shiftright(top, 7))
-        total = total + more.bitwiseAND(F.lit(_EVEN))
-        total = total + F.shiftright(more, 8).bitwiseAND(F.lit(_EVEN))
-    # Sixteen bits hold the sum of a lane: 72 numbers of at most 127.
-    parts = [F.shiftright(total, 16 * k).bitwiseAND(F.lit(0xFFFF)) for k in range(4)]
-    return parts[0] + parts[1] + parts[2] + parts[3]
+        total = total + F.bit_count(a[at].bitwiseAND(F.bitwise_not(b[at])))
+    return total
 
 
 def _may_be_alike(a: str, b: str) -> Column:
-    """Whether two members (structs of n and bins) can be similar: false only if they are not.
+    """Whether two members (structs of n, counted and bins) can be similar: false only if not.
 
-    A word that one text has more often than the other costs an edit.
+    A word that one text has more often than the other costs an edit. What the second has more
+    follows from what the first has, and the difference of their sums.
     """
     one, two = F.col(a), F.col(b)
-    longer = F.greatest(one["n"], two["n"])
-    limit = F.floor(longer * (1 - SIMILARITY) + F.lit(1e-9))
-    return (
-        (F.abs(one["n"] - two["n"]) <= limit)
-        & (_lacking(one["bins"], two["bins"]) <= limit)
-        & (_lacking(two["bins"], one["bins"]) <= limit)
+    limit = F.floor(F.greatest(one["n"], two["n"]) * (1 - SIMILARITY) + F.lit(1e-9))
+    more = F.greatest(F.lit(0), two["counted"] - one["counted"])
+    return (F.abs(one["n"] - two["n"]) <= limit) & (
+        _lacking(one["bins"], two["bins"]) + more <= limit
     )
 
 
@@ -325,7 +320,7 @@ def classes(df: DataFrame, text: str) -> DataFrame:
             rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "shared"
         )
         members = scratch.stage(rows.join(shared, "key"), "members")
-        figures = distinct.select("id", F.struct("n", "bins").alias("own"))
+        figures = distinct.select("id", F.struct("n", "counted", "bins").alias("own"))
         alone = distinct.select("id", F.col("id").alias("class")).limit(0)
         with Scratch(spark, "near-duplicates-central") as own:
             central = _with_central(members, figures, own)

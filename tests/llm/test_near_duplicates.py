@@ -78,7 +78,7 @@ def test_order_of_shingles_counts():
 
 
 def test_skipped_pairs_are_never_alike(spark):
-    """The bound on counted words is at most the distance, also with more than 127 in a bin."""
+    """The bound on counted words is at most the distance, also where a bin is full."""
     rng = random.Random(4)
     vocabulary = [f"w{i}" for i in range(30)]
     pairs = []
@@ -91,22 +91,30 @@ def test_skipped_pairs_are_never_alike(spark):
         pairs.append((a, b))
 
     def figures(words):
-        return len(words), near_duplicates.binned(near_duplicates.word_hashes(words))
+        return len(words), *near_duplicates.binned(near_duplicates.word_hashes(words))
 
-    kind = "struct<n:int,bins:array<bigint>>"
+    kind = "struct<n:int,counted:int,bins:array<bigint>>"
     rows = [(i, figures(a), figures(b)) for i, (a, b) in enumerate(pairs)]
     df = spark.createDataFrame(rows, f"i int, x {kind}, y {kind}")
     lacking = near_duplicates._lacking(F.col("x.bins"), F.col("y.bins"))
     got = {r.i: r for r in df.select(
-        "i", near_duplicates._may_be_alike("x", "y").alias("may"), lacking.alias("lacking")
+        "i", near_duplicates._may_be_alike("x", "y").alias("may"), lacking.alias("lacking"),
+        near_duplicates._may_be_alike("y", "x").alias("turned"),
     ).collect()}
+    refused = 0
     for i, (a, b) in enumerate(pairs):
         bins = [Counter(int(h) % near_duplicates.BINS for h in near_duplicates.word_hashes(w).tolist())
                 for w in (a, b)]
-        capped = [{k: min(n, 127) for k, n in c.items()} for c in bins]
-        assert got[i].lacking == sum(max(0, n - capped[1].get(k, 0)) for k, n in capped[0].items())
+        left, right = ({k: min(n, 7) for k, n in c.items()} for c in bins)
+        more = sum(max(0, n - right.get(k, 0)) for k, n in left.items())
+        less = sum(max(0, n - left.get(k, 0)) for k, n in right.items())
+        limit = int(0.2 * max(len(a), len(b)) + 1e-9)
+        assert got[i].lacking == more
+        assert got[i].may == got[i].turned == (max(more, less, abs(len(a) - len(b))) <= limit)
+        refused += not got[i].may
         if near_duplicates.alike(" ".join(a), " ".join(b)):
             assert got[i].may
+    assert refused > 10
 
 
 def _classes_by_all_pairs(texts):
