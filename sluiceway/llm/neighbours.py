@@ -40,7 +40,7 @@ CELLS = 64
 BLOCK = 8192
 QUERIES = 2048
 #: Vectors of a leaf of a block's tree.
-_LEAF = 64
+_LEAF = 256
 _SLACK = 1e-9
 
 
@@ -151,6 +151,12 @@ def cosine(query: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return products / (np.sqrt((rows * rows).sum(axis=1)) * math.sqrt(float((query * query).sum())))
 
 
+def _different(found: list[tuple[float, int]]) -> list[tuple[float, int]]:
+    """The first of each key: a key with several vectors counts once, at its nearest."""
+    seen: set[int] = set()
+    return [f for f in found if not (f[1] in seen or seen.add(f[1]))]
+
+
 def search_block(
     ids: list[list[int]], vectors: np.ndarray, tree: Tree, projected: np.ndarray,
     own: int, query: np.ndarray, bound: float, k: int, quantile: float,
@@ -170,7 +176,7 @@ def search_block(
         for row, score in zip(rows, scores):
             if score >= least:
                 best += [(-float(score), i) for i in ids[row] if i != own]
-        best = sorted(best)[:k]
+        best = _different(sorted(best))[:k]
         if len(best) == k:
             worst = min(worst, max(0.0, 2 + 2 * best[-1][0]))
     return [(-score, i) for score, i in best]
@@ -192,8 +198,8 @@ def nearest(
     ``is_query`` is a condition on the columns of ``df``. Nearness is the cosine, in double
     precision, ties to the smaller key. Rows whose key or vector is null, whose vector is zero,
     has no or a null or non-finite component, or a length other than the most frequent one,
-    take no part. Rows with one key are one candidate each, and none for that key's own
-    query. An empty table, or one without queries, gives an empty table.
+    take no part. A key is one candidate, at its nearest vector, however often it occurs, and none for
+    its own query. An empty table, or one without queries, gives an empty table.
     """
     spark = df.sparkSession
     bounded_batches(spark)
@@ -207,9 +213,10 @@ def nearest(
     rows = rows.where(F.size("embedding") == dim)
 
     # Equal vectors become one point with its k + 1 smallest keys: no other key of them can be
-    # among the k nearest of any query. The rank limit applies within each task already.
+    # among the k nearest of any query. Repeated rows are one before that, or they would take
+    # the places of other keys. The rank limit applies within each task already.
     same = Window.partitionBy("embedding").orderBy("id")
-    smallest = rows.select("id", "embedding").withColumn("_r", F.row_number().over(same))
+    smallest = rows.select("id", "embedding").distinct().withColumn("_r", F.row_number().over(same))
     points = stage(
         smallest.where(F.col("_r") <= k + 1)
         .groupBy("embedding")
@@ -285,7 +292,7 @@ def nearest(
     asked = bounded.select("query_id", "embedding", "place", "bound", "cell", "block")
     second = _searched(asked.mapInArrow(visits, visited), placed, k, quantile)
     by_rank = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    both = first.unionByName(second).select("query_id", "id", "score").distinct()
+    both = first.unionByName(second).groupBy("query_id", "id").agg(F.max("score").alias("score"))
     ranked = both.withColumn("rank", F.row_number().over(by_rank)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", F.col("id").alias(key), "score")
 
