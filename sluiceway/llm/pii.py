@@ -167,7 +167,10 @@ SPAN = StructType(
 def find_personal_data(df: DataFrame, text: str, out: str = "pii_spans") -> DataFrame:
     """``df`` with an array of spans (kind, start, end, score) of every whole text.
 
-    A null or empty text has no spans. Texts of any length are scanned whole. Rows stay where
+    The score says how sure a span is: what its kind has by itself, more for a checksum that
+    holds and for words of its kind nearby. Spans of base kinds stay whatever their score, the
+    others from ``THRESHOLD`` on; local phone numbers are written with hyphens. A null or empty
+    text has no spans. Texts of any length are scanned whole. Rows stay where
     they are; repeated rows get the same spans, an empty table stays empty, and an input
     column named ``out`` is replaced.
     """
@@ -192,3 +195,8 @@ def listed(spans: Column) -> Column:
     return F.array_join(
         F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
     )
+
+
+def scores(spans: Column) -> Column:
+    """The score of every span to three places, joined by commas, in the order of ``listed``."""
+    return F.array_join(F.transform(spans, lambda s: F.format_string("%.3f", s["score"])), ",")

@@ -69,6 +69,7 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[_count("found", kind) for kind in pii.BASE],
         F.sha2(pii.listed(base), 256).alias("base_sha256"),
         pii.listed(F.col("found")).alias("spans"),
+        pii.scores(F.col("found")).alias("scores"),
     )
 
 
