@@ -14,8 +14,9 @@ Classes are the connected components of verified pairs. Not all pairs of a sketc
 first every member is compared with the most central member of its sketch; then members of one
 sketch that are still in different classes are compared with each other, so no link that could
 join two classes is left out, while a large group of copies costs one comparison per member.
-Pairs that cannot be similar, by their lengths or by counts of their words in ``BINS`` bins (a
-lower bound of the distance), are never formed.
+Pairs that cannot be similar, by their lengths or by ``BITS`` bits that their words set (a
+lower bound of the distance), are never formed, and those of the second step are first aligned
+on one byte per word, which can only come out nearer than the words.
 
 Two texts of 500 words in which a share of the words is replaced at random agree on a sketch, and
 are thus found, with a probability of 0.9 at a similarity of 0.8, 0.96 at 0.82 and 0.99 from 0.85 on.
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Sequence
 from typing import Any
 
 import numpy as np
@@ -32,7 +34,15 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    BooleanType,
+    IntegerType,
+    LongType,
+    StructField,
+    StructType,
+)
 
 from sluiceway.llm.components import components
 from sluiceway.llm.texts import Worker, bounded_batches, fresh, quoted, text_udf
@@ -42,8 +52,8 @@ from sluiceway.operators import Scratch, stage
 SHINGLE = 5
 MINIMA = 2
 SKETCHES = 64
-#: Bins in which a text's words are counted, by hash.
-BINS = 252
+#: Bits that a text's words set, by hash.
+BITS = 4096
 #: Least similarity of a pair.
 SIMILARITY = 0.8
 
@@ -70,9 +80,6 @@ _random = np.random.default_rng(20240229)
 _MULTIPLIERS = _random.integers(0, 1 << 31, SKETCHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _OFFSETS = _random.integers(0, 1 << 32, SKETCHES, dtype=np.uint32)
 _SPREAD = np.uint32(0x9E3779B1)
-# A bin's count up to ``_LEVELS`` is as many bits; so many bins to a number, the sign stays out.
-_LEVELS, _LANES = 7, 9
-_LANE_SHIFTS = np.arange(_LANES, dtype=np.int64) * _LEVELS
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -99,26 +106,31 @@ def shingles(own: np.ndarray, size: int = SHINGLE) -> np.ndarray:
     for k in range(size):
         total = total * _BASE + own[k : len(own) - size + 1 + k]
     total = _mixed(total)
-    order = np.argsort(total, kind="stable")
-    sorted_ = total[order]
+    return labelled(total)
+
+
+def labelled(hashes: np.ndarray) -> np.ndarray:
+    """Hashes told apart by occurrence, so that repeated ones differ."""
+    order = np.argsort(hashes, kind="stable")
+    sorted_ = hashes[order]
     again = np.flatnonzero(sorted_[1:] == sorted_[:-1]) + 1
-    occurrence = np.zeros(len(total), np.uint64)
+    occurrence = np.zeros(len(hashes), np.uint64)
     if len(again):
-        first = np.arange(len(total))
+        first = np.arange(len(hashes))
         first[again] = 0
         first = np.maximum.accumulate(first)
-        occurrence[order] = (np.arange(len(total)) - first).astype(np.uint64)
-    return _mixed(total + occurrence * np.uint64(0xD6E8FEB86659FD93))
+        occurrence[order] = (np.arange(len(hashes)) - first).astype(np.uint64)
+    return _mixed(hashes + occurrence * np.uint64(0xD6E8FEB86659FD93))
 
 
-def sketches(labelled: np.ndarray) -> list[int]:
+def sketches(shingled: np.ndarray) -> list[int]:
     """One signed 64-bit key per sketch; none for a text without shingles.
 
     The order of a sketch is that of 32 mixed bits; equal ones go by place in the text.
     """
-    if not len(labelled):
+    if not len(shingled):
         return []
-    short = (labelled >> np.uint64(32)).astype(np.uint32)
+    short = (shingled >> np.uint64(32)).astype(np.uint32)
     keys = []
     step = max(1, _AT_ONCE // len(short))
     for begin in range(0, SKETCHES, step):
@@ -131,7 +143,7 @@ def sketches(labelled: np.ndarray) -> list[int]:
         for _ in range(min(MINIMA, len(short))):
             places.append(hashed.argmin(axis=1))
             hashed[rows, places[-1]] = _TAKEN
-        chosen = labelled[np.sort(np.stack(places, axis=1), axis=1)]
+        chosen = shingled[np.sort(np.stack(places, axis=1), axis=1)]
         key = np.arange(begin, begin + len(chosen), dtype=np.uint64)
         for k in range(chosen.shape[1]):
             key = _mixed(key * _BASE + chosen[:, k])
@@ -139,7 +151,7 @@ def sketches(labelled: np.ndarray) -> list[int]:
     return keys
 
 
-def distance_within(a: list[int], b: list[int], limit: int) -> int | None:
+def distance_within(a: Sequence[int], b: Sequence[int], limit: int) -> int | None:
     """Levenshtein distance if it is at most ``limit``: bit-parallel alignment in a band.
 
     The differences between neighbouring cells of a column are two bit vectors, as wide as the
@@ -210,39 +222,57 @@ def alike(a: str, b: str, least: float = SIMILARITY) -> bool:
 _SKETCH = StructType(
     [
         StructField("n", IntegerType()),
-        StructField("counted", IntegerType()),
-        StructField("bins", ArrayType(LongType())),
+        StructField("bits_set", IntegerType()),
+        StructField("bits", ArrayType(LongType())),
+        StructField("codes", BinaryType()),
         StructField("keys", ArrayType(LongType())),
     ]
 )
 
 
-def binned(own: np.ndarray) -> tuple[int, list[int]]:
-    """Numbers of words in ``BINS`` bins, seven at most: their sum, and nine to a 64-bit number.
+def word_bits(own: np.ndarray) -> tuple[int, list[int]]:
+    """Bits set by the words, repeated ones told apart: their number, and 64 to a number."""
+    bits = np.zeros(BITS, bool)
+    bits[(labelled(own) % np.uint64(BITS)).astype(np.int64)] = True
+    return int(bits.sum()), np.packbits(bits).view(np.int64).tolist()
 
-    A number of words stands as that many bits, so what one text has more than another is a
-    count of bits.
-    """
-    counts = np.bincount((own % np.uint64(BINS)).astype(np.int64), minlength=BINS)
-    counts = np.minimum(counts, _LEVELS)
-    packed = ((1 << counts.reshape(-1, _LANES)) - 1) << _LANE_SHIFTS
-    return int(counts.sum()), packed.sum(axis=1).tolist()
+
+def coded(own: np.ndarray) -> bytes:
+    """A text's words as one byte each."""
+    return (own & np.uint64(0xFF)).astype(np.uint8).tobytes()
 
 
 def _sketch_worker() -> Worker:
     def work(texts: list[str]) -> dict[str, list[Any]]:
         hashed = [word_hashes(_WORD.findall(t)) for t in texts]
-        bins = list(map(binned, hashed))
+        bits = list(map(word_bits, hashed))
         return {
             "n": list(map(len, hashed)),
-            "counted": [counted for counted, _ in bins],
-            "bins": [packed for _, packed in bins],
+            "bits_set": [n for n, _ in bits],
+            "bits": [packed for _, packed in bits],
+            "codes": list(map(coded, hashed)),
             "keys": [sketches(shingles(h)) for h in hashed],
         }
 
     return work
 
 
+def codes_alike(a: bytes, b: bytes, least: float = SIMILARITY) -> bool:
+    """False only if the texts behind two codes are not alike.
+
+    Different words may have one code, so the distance of codes is at most that of the words.
+    """
+    longer = max(len(a), len(b))
+    return distance_within(a, b, int((1 - least) * longer + 1e-9)) is not None
+
+
+@F.arrow_udf(BooleanType())
+def _codes_alike(left: pa.Array, right: pa.Array) -> pa.Array:
+    return pa.array(
+        [codes_alike(a, b) for a, b in zip(left.to_pylist(), right.to_pylist())], pa.bool_()
+    )
+
+
 @F.arrow_udf(BooleanType())
 def _alike(left: pa.Array, right: pa.Array) -> pa.Array:
     return pa.array(
@@ -255,25 +285,24 @@ def _text_id(text: Column) -> Column:
     return F.unhex(F.md5(text.cast("binary")))
 
 
-def _lacking(a: Column, b: Column) -> Column:
-    """Words that ``a`` has more than ``b``, by their bins; never more than there are."""
+def _common_bits(a: Column, b: Column) -> Column:
     total = F.lit(0)
-    for at in range(BINS // _LANES):
-        total = total + F.bit_count(a[at].bitwiseAND(F.bitwise_not(b[at])))
+    for at in range(BITS // 64):
+        total = total + F.bit_count(a[at].bitwiseAND(b[at]))
     return total
 
 
 def _may_be_alike(a: str, b: str) -> Column:
-    """Whether two members (structs of n, counted and bins) can be similar: false only if not.
+    """Whether two members (structs of n, bits_set and bits) can be similar: false only if not.
 
-    A word that one text has more often than the other costs an edit. What the second has more
-    follows from what the first has, and the difference of their sums.
+    A bit that only one text sets comes from a word that the other lacks there, which costs an
+    edit.
     """
     one, two = F.col(a), F.col(b)
     limit = F.floor(F.greatest(one["n"], two["n"]) * (1 - SIMILARITY) + F.lit(1e-9))
-    more = F.greatest(F.lit(0), two["counted"] - one["counted"])
+    set_most = F.greatest(one["bits_set"], two["bits_set"])
     return (F.abs(one["n"] - two["n"]) <= limit) & (
-        _lacking(one["bins"], two["bins"]) + more <= limit
+        set_most - _common_bits(one["bits"], two["bits"]) <= limit
     )
 
 
@@ -281,6 +310,21 @@ def _tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _roughly_alike(pairs: DataFrame, codes: DataFrame, own: Scratch) -> DataFrame:
+    """The pairs (a, b) whose codes are alike.
+
+    Members of different classes that share a passage are many pairs and few links. A byte per
+    word travels for each pair, and the texts only for those that are left.
+    """
+    pairs = own.stage(pairs, "rough-pairs")
+    needed = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    held = own.stage(codes.join(needed, "id", "left_semi"), "rough-codes")
+    left = held.select(F.col("id").alias("a"), F.col("codes").alias("codes_a"))
+    right = held.select(F.col("id").alias("b"), F.col("codes").alias("codes_b"))
+    both = pairs.join(left, "a").join(right, "b")
+    return both.where(_codes_alike(F.col("codes_a"), F.col("codes_b"))).select("a", "b")
+
+
 def _verified(
     pairs: DataFrame, texts: DataFrame, scratch: Scratch, own: Scratch, label: str
 ) -> DataFrame:
@@ -320,7 +364,7 @@ def classes(df: DataFrame, text: str) -> DataFrame:
             rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "shared"
         )
         members = scratch.stage(rows.join(shared, "key"), "members")
-        figures = distinct.select("id", F.struct("n", "counted", "bins").alias("own"))
+        figures = distinct.select("id", F.struct("n", "bits_set", "bits").alias("own"))
         alone = distinct.select("id", F.col("id").alias("class")).limit(0)
         with Scratch(spark, "near-duplicates-central") as own:
             central = _with_central(members, figures, own)
@@ -329,7 +373,8 @@ def classes(df: DataFrame, text: str) -> DataFrame:
         with Scratch(spark, "near-duplicates-across") as own:
             apart = _apart(members, found, figures, own)
             if not apart.isEmpty():
-                more = _verified(_across(apart), texts, scratch, own, "across")
+                rough = _roughly_alike(_across(apart), distinct.select("id", "codes"), own)
+                more = _verified(rough, texts, scratch, own, "across")
                 links = links.unionByName(more)
                 found = components(links, scratch)
         result = found
@@ -341,7 +386,10 @@ def classes(df: DataFrame, text: str) -> DataFrame:
 def _apart(
     members: DataFrame, found: DataFrame, figures: DataFrame, scratch: Scratch
 ) -> DataFrame:
-    """Members (key, id, class, own) of the sketches that hold more than one class."""
+    """Members (key, id, class, own) of the sketches that hold more than one class.
+
+    ``own`` has a member's figures and all its keys of such sketches, at most ``SKETCHES``.
+    """
     placed = scratch.stage(
         members.select("key", "id").join(found, "id", "left").select(
             "key", "id", F.coalesce("class", "id").alias("class")
@@ -355,7 +403,10 @@ def _apart(
         .select("key"),
         "mixed",
     )
-    return scratch.stage(placed.join(mixed, "key", "left_semi").join(figures, "id"), "apart")
+    held = scratch.stage(placed.join(mixed, "key", "left_semi"), "mixed-members")
+    keys = held.groupBy("id").agg(F.collect_list("key").alias("keys"))
+    own = keys.join(figures, "id").select("id", F.struct("own.*", "keys").alias("own"))
+    return scratch.stage(held.join(own, "id"), "apart")
 
 
 def _with_central(members: DataFrame, figures: DataFrame, scratch: Scratch) -> DataFrame:
@@ -387,7 +438,10 @@ def _with_central(members: DataFrame, figures: DataFrame, scratch: Scratch) -> D
 
 
 def _across(apart: DataFrame) -> DataFrame:
-    """All pairs of members of one sketch in different classes that may be alike."""
+    """All pairs of members of one sketch in different classes that may be alike.
+
+    A pair that agrees on several sketches is formed at the one of smallest key.
+    """
     left, right = (
         apart.select(
             "key",
@@ -402,9 +456,10 @@ def _across(apart: DataFrame) -> DataFrame:
         (F.col("key") == F.col("key_b"))
         & (F.col("a") < F.col("b"))
         & (F.col("class_a") != F.col("class_b"))
-        & _may_be_alike("own_a", "own_b"),
+        & _may_be_alike("own_a", "own_b")
+        & (F.col("key") == F.array_min(F.array_intersect("own_a.keys", "own_b.keys"))),
     )
-    return joined.select("a", "b").distinct()
+    return joined.select("a", "b")
 
 
 def classify(df: DataFrame, key: str, text: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import itertools
 import random
-from collections import Counter, defaultdict
+from collections import defaultdict
 
 import numpy as np
 import pytest
@@ -78,7 +78,7 @@ def test_order_of_shingles_counts():
 
 
 def test_skipped_pairs_are_never_alike(spark):
-    """The bound on counted words is at most the distance, also where a bin is full."""
+    """The bounds by bits and by codes are at most the distance, also for many equal words."""
     rng = random.Random(4)
     vocabulary = [f"w{i}" for i in range(30)]
     pairs = []
@@ -91,29 +91,30 @@ def test_skipped_pairs_are_never_alike(spark):
         pairs.append((a, b))
 
     def figures(words):
-        return len(words), *near_duplicates.binned(near_duplicates.word_hashes(words))
+        return len(words), *near_duplicates.word_bits(near_duplicates.word_hashes(words))
 
-    kind = "struct<n:int,counted:int,bins:array<bigint>>"
+    kind = "struct<n:int,bits_set:int,bits:array<bigint>>"
     rows = [(i, figures(a), figures(b)) for i, (a, b) in enumerate(pairs)]
     df = spark.createDataFrame(rows, f"i int, x {kind}, y {kind}")
-    lacking = near_duplicates._lacking(F.col("x.bins"), F.col("y.bins"))
-    got = {r.i: r for r in df.select(
-        "i", near_duplicates._may_be_alike("x", "y").alias("may"), lacking.alias("lacking"),
-        near_duplicates._may_be_alike("y", "x").alias("turned"),
-    ).collect()}
+    may, turned = near_duplicates._may_be_alike("x", "y"), near_duplicates._may_be_alike("y", "x")
+    common = near_duplicates._common_bits(F.col("x.bits"), F.col("y.bits"))
+    found = df.select("i", may.alias("may"), turned.alias("turned"), common.alias("common"))
+    got = {r.i: r for r in found.collect()}
     refused = 0
     for i, (a, b) in enumerate(pairs):
-        bins = [Counter(int(h) % near_duplicates.BINS for h in near_duplicates.word_hashes(w).tolist())
-                for w in (a, b)]
-        left, right = ({k: min(n, 7) for k, n in c.items()} for c in bins)
-        more = sum(max(0, n - right.get(k, 0)) for k, n in left.items())
-        less = sum(max(0, n - left.get(k, 0)) for k, n in right.items())
+        sets = [
+            {int(h) % near_duplicates.BITS for h in
+             near_duplicates.labelled(near_duplicates.word_hashes(w)).tolist()} for w in (a, b)
+        ]
+        assert got[i].common == len(sets[0] & sets[1])
+        apart = max(map(len, sets)) - len(sets[0] & sets[1])
         limit = int(0.2 * max(len(a), len(b)) + 1e-9)
-        assert got[i].lacking == more
-        assert got[i].may == got[i].turned == (max(more, less, abs(len(a) - len(b))) <= limit)
+        assert apart <= _levenshtein(a, b)
+        assert got[i].may == got[i].turned == (max(apart, abs(len(a) - len(b))) <= limit)
         refused += not got[i].may
+        codes = [near_duplicates.coded(near_duplicates.word_hashes(w)) for w in (a, b)]
         if near_duplicates.alike(" ".join(a), " ".join(b)):
-            assert got[i].may
+            assert got[i].may and near_duplicates.codes_alike(*codes)
     assert refused > 10
 
 
