@@ -65,10 +65,7 @@ def crm_prd_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def crm_sales_details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One sale per order line, with broken dates, amounts, prices and references.
-
-    Both sides grow with the data, so the join is a sort-merge join at every scale.
-    """
+    """One sale per order line, with broken dates, amounts, prices and references."""
     digits = "(year({0}) * 10000 + month({0}) * 100 + day({0}))"
     mixed = "(k * 7 + p * 3 + n)"
     lines = (
@@ -104,8 +101,7 @@ def crm_sales_details(spark: SparkSession, sf_dir: str) -> DataFrame:
                  ELSE {digits.format('o_orderdate')} END AS sls_order_dt""",
     )
     return (
-        lines.hint("merge")
-        .join(orders, lines.k == orders.o_orderkey)
+        lines.join(orders, lines.k == orders.o_orderkey)
         .selectExpr(
             "concat('SO', CAST(k AS STRING)) AS sls_ord_num",
             "sls_prd_key",
