@@ -125,16 +125,20 @@ _CATALOG_VIEWS = {
 }
 
 
-def create_catalog_views(silver: Mapping[str, DataFrame], database: str) -> None:
+def create_catalog_views(
+    silver: Mapping[str, DataFrame], database: str, location: str | None = None
+) -> None:
     """Define the three SQL-variant views in the catalog, for every session that shares it.
 
+    The database is created at ``location``, by default in the warehouse folder.
+
     A row number over the whole table is not a matter for each reader, so both dimensions are
     numbered now and kept as tables; a second run refreshes them in place and the views follow.
     The fact is a join that runs when the view is read. Unlike ``register_gold_views`` nothing
     hangs on this session or on what it staged.
     """
     spark = silver["crm_cust_info"].sparkSession
-    create_database(spark, database)
+    create_database(spark, database, location)
     with Scratch(spark, "catalog-views"):
         numbered = together(
             spark,

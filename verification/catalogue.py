@@ -409,8 +409,10 @@ def _audit_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _catalog_view_fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The gold schema's fact view as another session of the application reads it."""
-    database = f"gold_{uuid4().hex}"
-    views.create_catalog_views({t: _silver(spark, sf_dir, t) for t in SHAPES}, database)
+    location = _new_lake(spark)
+    database = location.rsplit("/", 1)[1].replace("-", "_")
+    tables = {t: _silver(spark, sf_dir, t) for t in SHAPES}
+    views.create_catalog_views(tables, database, location)
     return spark.newSession().table(f"{database}.fact_sales")
 
 
