@@ -26,7 +26,8 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, field
 from typing import Any
 
 import numpy as np
@@ -54,6 +55,8 @@ MINIMA = 2
 SKETCHES = 64
 #: Bits that a text's words set, by hash.
 BITS = 4096
+#: Members of a sketch that are compared with as many others at a time.
+BLOCK = 512
 #: Least similarity of a pair.
 SIMILARITY = 0.8
 
@@ -62,6 +65,8 @@ _MAX_REMEMBERED = 300_000
 # Hashes that are compared at once.
 _AT_ONCE = 1 << 20
 _TAKEN = np.uint32(0xFFFFFFFF)
+# Rows of a block whose bits are compared at once.
+_ROWS = 32
 
 
 class _Hashes(dict):
@@ -306,6 +311,49 @@ def _may_be_alike(a: str, b: str) -> Column:
     )
 
 
+@dataclass
+class _Block:
+    """Members of one sketch that are compared with each other: two blocks of them, or one twice."""
+
+    sketch: int
+    twice: bool
+    ids: list[bytes] = field(default_factory=list)
+    classes: list[bytes] = field(default_factory=list)
+    first: list[bool] = field(default_factory=list)
+    n: list[int] = field(default_factory=list)
+    bits_set: list[int] = field(default_factory=list)
+    bits: list[list[int]] = field(default_factory=list)
+    keys: list[list[int]] = field(default_factory=list)
+
+    def pairs(self) -> Iterator[tuple[bytes, bytes]]:
+        """Pairs of different classes that may be alike, by the rule of ``_may_be_alike``.
+
+        A pair that agrees on several sketches is formed at the one of smallest key.
+        """
+        n, bits_set = np.array(self.n), np.array(self.bits_set)
+        bits = np.array(self.bits, np.int64).view(np.uint64)
+        numbers = {c: i for i, c in enumerate(sorted(set(self.classes)))}
+        classes = np.array([numbers[c] for c in self.classes])
+        first, places = np.array(self.first), np.arange(len(n))
+        keys = list(map(set, self.keys))
+        left, right = (places, places) if self.twice else (places[first], places[~first])
+        for begin in range(0, len(left), _ROWS):
+            rows = left[begin : begin + _ROWS]
+            limit = np.floor(np.maximum(n[rows, None], n[right]) * (1 - SIMILARITY) + 1e-9)
+            near = np.abs(n[rows, None] - n[right]) <= limit
+            near &= classes[rows, None] != classes[right]
+            if self.twice:
+                near &= rows[:, None] < right
+            if not near.any():
+                continue
+            common = np.bitwise_count(bits[rows, None] & bits[right]).sum(axis=2, dtype=np.int64)
+            near &= np.maximum(bits_set[rows, None], bits_set[right]) - common <= limit
+            for i, j in zip(*np.nonzero(near), strict=True):
+                x, y = rows[i], right[j]
+                if min(keys[x] & keys[y]) == self.sketch:
+                    yield tuple(sorted((self.ids[x], self.ids[y])))
+
+
 def _tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -440,26 +488,73 @@ def _with_central(members: DataFrame, figures: DataFrame, scratch: Scratch) -> D
 def _across(apart: DataFrame) -> DataFrame:
     """All pairs of members of one sketch in different classes that may be alike.
 
-    A pair that agrees on several sketches is formed at the one of smallest key.
+    A sketch's members are dealt into blocks of about ``BLOCK``, and every two blocks meet in a
+    group of their own, so no group grows with the sketch.
     """
-    left, right = (
-        apart.select(
+    blocks = apart.groupBy("key").agg(
+        F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")
+    )
+    mine = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    met = apart.join(blocks, "key").select(
+        "key",
+        mine.alias("block"),
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"),
+        "id",
+        "class",
+        "own",
+    )
+    group = ("key", "low", "high")
+    dealt = (
+        met.select(
             "key",
-            F.col("id").alias(end),
-            F.col("class").alias(f"class_{end}"),
-            F.col("own").alias(f"own_{end}"),
+            F.least("block", "other").alias("low"),
+            F.greatest("block", "other").alias("high"),
+            (F.col("block") <= F.col("other")).alias("first"),
+            "id",
+            "class",
+            "own.n",
+            "own.bits_set",
+            "own.bits",
+            "own.keys",
         )
-        for end in ("a", "b")
-    )
-    joined = left.join(
-        right.withColumnRenamed("key", "key_b"),
-        (F.col("key") == F.col("key_b"))
-        & (F.col("a") < F.col("b"))
-        & (F.col("class_a") != F.col("class_b"))
-        & _may_be_alike("own_a", "own_b")
-        & (F.col("key") == F.array_min(F.array_intersect("own_a.keys", "own_b.keys"))),
+        .repartition(*group)
+        .sortWithinPartitions(*group)
     )
-    return joined.select("a", "b")
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, block, ready = None, None, []
+
+        def sent() -> pa.RecordBatch:
+            columns = [pa.array(c, pa.binary()) for c in zip(*ready, strict=True)]
+            ready.clear()
+            return pa.RecordBatch.from_arrays(columns, schema=schema)
+
+        for batch in batches:
+            for key, low, high, first, *member in zip(
+                *(c.to_pylist() for c in batch.columns), strict=True
+            ):
+                if (key, low, high) != current:
+                    for pair in block.pairs() if block else ():
+                        ready.append(pair)
+                        if len(ready) >= 10_000:
+                            yield sent()
+                    current, block = (key, low, high), _Block(key, low == high)
+                block.first.append(first)
+                for column, value in zip(
+                    (block.ids, block.classes, block.n, block.bits_set, block.bits, block.keys),
+                    member,
+                    strict=True,
+                ):
+                    column.append(value)
+        for pair in block.pairs() if block else ():
+            ready.append(pair)
+            if len(ready) >= 10_000:
+                yield sent()
+        if ready:
+            yield sent()
+
+    return dealt.mapInArrow(run, "a binary, b binary")
 
 
 def classify(df: DataFrame, key: str, text: str) -> DataFrame:
