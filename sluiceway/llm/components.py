@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sluiceway.operators import Scratch
 
 
-def components(links: DataFrame, scratch: Scratch) -> DataFrame:
+def components(links: DataFrame, scratch: Scratch, passes: int | None = None) -> DataFrame:
     """``id`` and ``class`` (smallest id of its component) for every end of a link (a, b).
 
     Each pass gives a node the smallest label among its own and its neighbours', then the
@@ -16,6 +16,9 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     width, not with its size. Labels are written each pass, so the plan stays short and a lost
     executor costs one pass. A node with very many links is only ever the key of a plain join
     of two written tables, which adaptive execution splits.
+
+    With ``passes`` the labels after so many are returned, unasked whether they still change:
+    ends of one label are connected, but connected ends may have different ones.
     """
     turned = links.select(F.col("b").alias("a"), F.col("a").alias("b"))
     edges = scratch.stage(links.select("a", "b").union(turned).distinct(), "edges")
@@ -24,6 +27,7 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
         .select("id", F.least("id", "other").alias("class")),
         "labels",
     )
+    done_passes = 0
     while True:
         near = edges.join(labels, edges["b"] == labels["id"]).select(F.col("a").alias("id"), "class")
         lowest = scratch.stage(
@@ -36,6 +40,9 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
             ),
             "labels",
         )
+        done_passes += 1
+        if done_passes == passes:
+            return following
         changed = following.join(
             labels.select("id", F.col("class").alias("before")), "id"
         ).where("class != before")

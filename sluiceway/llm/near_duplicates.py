@@ -417,14 +417,15 @@ def classes(df: DataFrame, text: str) -> DataFrame:
         with Scratch(spark, "near-duplicates-central") as own:
             central = _with_central(members, figures, own)
             links = _verified(central, texts, scratch, own, "central")
-        found = alone if links.isEmpty() else components(links, scratch)
+        # Members of one class need not meet; where labels are not final, some do that need not.
+        found = alone if links.isEmpty() else components(links, scratch, passes=2)
         with Scratch(spark, "near-duplicates-across") as own:
             apart = _apart(members, found, figures, own)
             if not apart.isEmpty():
                 rough = _roughly_alike(_across(apart), distinct.select("id", "codes"), own)
                 more = _verified(rough, texts, scratch, own, "across")
                 links = links.unionByName(more)
-                found = components(links, scratch)
+        found = alone if links.isEmpty() else components(links, scratch)
         result = found
         return stage(result, "near-duplicate-classes")
     finally:
