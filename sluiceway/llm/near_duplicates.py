@@ -57,6 +57,8 @@ SKETCHES = 64
 BITS = 4096
 #: Members of a sketch that are compared with as many others at a time.
 BLOCK = 512
+#: Words of a block, where its texts are long.
+BLOCK_WORDS = 4_000_000
 #: Least similarity of a pair.
 SIMILARITY = 0.8
 
@@ -271,13 +273,6 @@ def codes_alike(a: bytes, b: bytes, least: float = SIMILARITY) -> bool:
     return distance_within(a, b, int((1 - least) * longer + 1e-9)) is not None
 
 
-@F.arrow_udf(BooleanType())
-def _codes_alike(left: pa.Array, right: pa.Array) -> pa.Array:
-    return pa.array(
-        [codes_alike(a, b) for a, b in zip(left.to_pylist(), right.to_pylist())], pa.bool_()
-    )
-
-
 @F.arrow_udf(BooleanType())
 def _alike(left: pa.Array, right: pa.Array) -> pa.Array:
     return pa.array(
@@ -323,10 +318,11 @@ class _Block:
     n: list[int] = field(default_factory=list)
     bits_set: list[int] = field(default_factory=list)
     bits: list[list[int]] = field(default_factory=list)
+    codes: list[bytes] = field(default_factory=list)
     keys: list[list[int]] = field(default_factory=list)
 
     def pairs(self) -> Iterator[tuple[bytes, bytes]]:
-        """Pairs of different classes that may be alike, by the rule of ``_may_be_alike``.
+        """Pairs of different classes that may be alike, by ``_may_be_alike`` and by their codes.
 
         A pair that agrees on several sketches is formed at the one of smallest key.
         """
@@ -350,7 +346,8 @@ class _Block:
             near &= np.maximum(bits_set[rows, None], bits_set[right]) - common <= limit
             for i, j in zip(*np.nonzero(near), strict=True):
                 x, y = rows[i], right[j]
-                if min(keys[x] & keys[y]) == self.sketch:
+                here = min(keys[x] & keys[y]) == self.sketch
+                if here and codes_alike(self.codes[x], self.codes[y]):
                     yield tuple(sorted((self.ids[x], self.ids[y])))
 
 
@@ -358,21 +355,6 @@ def _tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _roughly_alike(pairs: DataFrame, codes: DataFrame, own: Scratch) -> DataFrame:
-    """The pairs (a, b) whose codes are alike.
-
-    Members of different classes that share a passage are many pairs and few links. A byte per
-    word travels for each pair, and the texts only for those that are left.
-    """
-    pairs = own.stage(pairs, "rough-pairs")
-    needed = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    held = own.stage(codes.join(needed, "id", "left_semi"), "rough-codes")
-    left = held.select(F.col("id").alias("a"), F.col("codes").alias("codes_a"))
-    right = held.select(F.col("id").alias("b"), F.col("codes").alias("codes_b"))
-    both = pairs.join(left, "a").join(right, "b")
-    return both.where(_codes_alike(F.col("codes_a"), F.col("codes_b"))).select("a", "b")
-
-
 def _verified(
     pairs: DataFrame, texts: DataFrame, scratch: Scratch, own: Scratch, label: str
 ) -> DataFrame:
@@ -420,10 +402,10 @@ def classes(df: DataFrame, text: str) -> DataFrame:
         # Members of one class need not meet; where labels are not final, some do that need not.
         found = alone if links.isEmpty() else components(links, scratch, passes=2)
         with Scratch(spark, "near-duplicates-across") as own:
-            apart = _apart(members, found, figures, own)
+            full = distinct.select("id", F.struct("n", "bits_set", "bits", "codes").alias("own"))
+            apart = _apart(members, found, full, own)
             if not apart.isEmpty():
-                rough = _roughly_alike(_across(apart), distinct.select("id", "codes"), own)
-                more = _verified(rough, texts, scratch, own, "across")
+                more = _verified(_across(apart), texts, scratch, own, "across")
                 links = links.unionByName(more)
         found = alone if links.isEmpty() else components(links, scratch)
         result = found
@@ -489,12 +471,12 @@ def _with_central(members: DataFrame, figures: DataFrame, scratch: Scratch) -> D
 def _across(apart: DataFrame) -> DataFrame:
     """All pairs of members of one sketch in different classes that may be alike.
 
-    A sketch's members are dealt into blocks of about ``BLOCK``, and every two blocks meet in a
-    group of their own, so no group grows with the sketch.
+    A sketch's members are dealt into blocks of about ``BLOCK`` members or ``BLOCK_WORDS`` words,
+    and every two blocks meet in a group of their own, so no group grows with the sketch. What
+    is compared travels with the members, not with the pairs.
     """
-    blocks = apart.groupBy("key").agg(
-        F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")
-    )
+    size = F.greatest(F.count("*") / BLOCK, F.sum("own.n") / BLOCK_WORDS)
+    blocks = apart.groupBy("key").agg(F.ceil(size).cast("int").alias("blocks"))
     mine = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     met = apart.join(blocks, "key").select(
         "key",
@@ -516,6 +498,7 @@ def _across(apart: DataFrame) -> DataFrame:
             "own.n",
             "own.bits_set",
             "own.bits",
+            "own.codes",
             "own.keys",
         )
         .repartition(*group)
@@ -542,11 +525,11 @@ def _across(apart: DataFrame) -> DataFrame:
                             yield sent()
                     current, block = (key, low, high), _Block(key, low == high)
                 block.first.append(first)
-                for column, value in zip(
-                    (block.ids, block.classes, block.n, block.bits_set, block.bits, block.keys),
-                    member,
-                    strict=True,
-                ):
+                columns = (
+                    block.ids, block.classes, block.n, block.bits_set, block.bits, block.codes,
+                    block.keys,
+                )
+                for column, value in zip(columns, member, strict=True):
                     column.append(value)
         for pair in block.pairs() if block else ():
             ready.append(pair)

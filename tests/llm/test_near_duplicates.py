@@ -156,13 +156,14 @@ def test_blocks_form_every_pair_once(spark, monkeypatch):
     monkeypatch.setattr(near_duplicates, "BLOCK", 3)
     rng = random.Random(6)
     base = [f"w{i}" for i in range(40)]
-    texts = [[rng.choice(base) if rng.random() < 0.3 else w for w in base] for _ in range(20)]
+    texts = [[rng.choice(base) if rng.random() < 0.12 else w for w in base] for _ in range(20)]
     rows = []
     for i, words in enumerate(texts):
-        n, own = len(words), near_duplicates.word_bits(near_duplicates.word_hashes(words))
+        hashes = near_duplicates.word_hashes(words)
+        own = len(words), *near_duplicates.word_bits(hashes), near_duplicates.coded(hashes)
         held = [1, 2, 3] if i % 2 else [2, 3]
-        rows += [(key, bytes([i]), bytes([i // 3]), (n, *own, held)) for key in held]
-    kind = "struct<n:int,bits_set:int,bits:array<bigint>,keys:array<bigint>>"
+        rows += [(key, bytes([i]), bytes([i // 3]), (*own, held)) for key in held]
+    kind = "struct<n:int,bits_set:int,bits:array<bigint>,codes:binary,keys:array<bigint>>"
     apart = spark.createDataFrame(rows, f"key long, id binary, class binary, own {kind}")
     got = sorted((r.a[0], r.b[0]) for r in near_duplicates._across(apart).collect())
     own = {row[1][0]: row[3] for row in rows}
@@ -170,7 +171,7 @@ def test_blocks_form_every_pair_once(spark, monkeypatch):
     for a, b in itertools.combinations(range(20), 2):
         bits = [np.array(own[i][2], np.int64).view(np.uint64) for i in (a, b)]
         apart_by = max(own[a][1], own[b][1]) - int(np.bitwise_count(bits[0] & bits[1]).sum())
-        if a // 3 != b // 3 and apart_by <= 8:
+        if a // 3 != b // 3 and apart_by <= 8 and near_duplicates.codes_alike(own[a][3], own[b][3]):
             wanted.append((a, b))
     assert got == wanted and 0 < len(wanted) < 150
 
