@@ -29,13 +29,11 @@ def left_join(
     ``heavy_rows`` of its rows. The random pieces are written before the join shuffles on
     them, so a retried task cannot draw others.
 
-    Spark may broadcast the right side only if its counted rows, decoded, are below the
-    broadcast limit; the size of compressed files says nothing about that.
+    The right side is ``sized``.
     """
     condition = F.col(left_key) == F.col(right_key)
     sizes = key_sizes(right, right_key)
-    if sizes.rows * _row_width(right.schema) > _broadcast_limit(right):
-        right = right.hint("merge")
+    right = sized(right, sizes.rows)
     heavy = heavy_keys(right, right_key, heavy_rows, sizes=sizes)
     if heavy is None:
         return left.join(right, condition, "left")
@@ -61,6 +59,15 @@ def left_join(
     return ordinary.unionByName(salted.drop("_salt", "_piece"))
 
 
+def sized(side: DataFrame, rows: int) -> DataFrame:
+    """``side`` of a join, which Spark may broadcast only if it is small.
+
+    Its counted ``rows``, decoded, must be below the broadcast limit; the size of compressed
+    files says nothing about that, and what is broadcast is built in the driver's memory.
+    """
+    return side.hint("merge") if rows * _row_width(side.schema) > _broadcast_limit(side) else side
+
+
 def _row_width(schema: StructType) -> int:
     def width(kind: DataType) -> int:
         return _VARIABLE_WIDTH if isinstance(kind, (StringType, BinaryType)) else _FIXED_WIDTH

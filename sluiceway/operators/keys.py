@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluiceway.operators.joins import sized
 from sluiceway.operators.staging import stage
 
 # ``monotonically_increasing_id`` is documented as partition number in the upper
@@ -19,8 +20,10 @@ from sluiceway.operators.staging import stage
 _PLACE_BITS = 33
 
 
-def _numbered(df: DataFrame, ordering: list[Column], out: str, label: str) -> DataFrame:
-    """Append the zero-based place of every row in the total order."""
+def _numbered(
+    df: DataFrame, ordering: list[Column], out: str, label: str
+) -> tuple[DataFrame, int]:
+    """Append the zero-based place of every row in the total order; and the number of rows."""
     placed = (
         df.repartitionByRange(*ordering)
         .sortWithinPartitions(*ordering)
@@ -41,9 +44,8 @@ def _numbered(df: DataFrame, ordering: list[Column], out: str, label: str) -> Da
         total += sizes.get(part, 0)
     # Folded to one array constant, so numbering stays inside the scan's stage.
     offsets = F.split(F.lit(",".join(map(str, starts))), ",").cast("array<bigint>")
-    return staged.withColumn(out, F.get(offsets, F.col("_part")) + F.col("_place")).drop(
-        "_part", "_place"
-    )
+    placed = F.get(offsets, F.col("_part")) + F.col("_place")
+    return staged.withColumn(out, placed).drop("_part", "_place"), total
 
 
 def row_key(
@@ -59,7 +61,7 @@ def row_key(
     """
     ordering = [*order_by, *[c for c in df.columns if c not in order_by], "_copy"]
     source = stage(df.withColumn("_copy", F.rand(seed=7)), f"{label}-rows")
-    numbered = _numbered(source, [F.asc_nulls_last(c) for c in ordering], "_row", label)
+    numbered, _ = _numbered(source, [F.asc_nulls_last(c) for c in ordering], "_row", label)
     return numbered.select((F.col("_row") + base).alias(out), *df.columns)
 
 
@@ -78,9 +80,11 @@ def dense_key(
     key, and the join can reuse a partitioning by the order column that ``df`` has.
     """
     ordering = [F.asc_nulls_last(c) for c in order_by]
-    keys = _numbered(df.select(*order_by).distinct(), ordering, "_row", label).select(
+    numbered, total = _numbered(df.select(*order_by).distinct(), ordering, "_row", label)
+    keys = numbered.select(
         (F.col("_row") + base).alias(out), *[F.col(c).alias(f"_k_{c}") for c in order_by]
     )
+    keys = sized(keys, total)
     pairs = [(F.col(c), F.col(f"_k_{c}")) for c in order_by]
     if null_safe:
         joined = df.join(keys, [mine.eqNullSafe(theirs) for mine, theirs in pairs], "inner")

@@ -3,16 +3,14 @@
 All are runtime SQL settings, so they can be applied to a session somebody else
 created. Partition counts are left to the cluster: adaptive execution merges small
 shuffle partitions, so ``spark.sql.shuffle.partitions`` should be set for the
-largest stage.
+largest stage. So is the broadcast limit: a broadcast side is built in the driver, several
+at a time where tables are loaded together, in a multiple of its size.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-_BROADCAST = "spark.sql.autoBroadcastJoinThreshold"
-BROADCAST_LIMIT = 64 * 1024 * 1024
-
 _SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -27,9 +25,4 @@ _SETTINGS = {
 def configure(spark: SparkSession) -> SparkSession:
     for name, value in _SETTINGS.items():
         spark.conf.set(name, value)
-    # Key lookups against dimensions are worth a larger broadcast than Spark's
-    # default, because the other side is the fact table. Spark still checks the size
-    # of the side before it broadcasts. A limit chosen by the operator is kept.
-    if _BROADCAST not in spark.conf.getAll:
-        spark.conf.set(_BROADCAST, str(BROADCAST_LIMIT))
     return spark

@@ -10,6 +10,7 @@ from sluiceway.operators import dense_key, keep_latest, left_join, next_in_key,
 from sluiceway.operators import versions as versions_module
 from sluiceway.operators.skew import heavy_keys
 from sluiceway.operators.staging import scratch_dir
+from verification import source_shapes
 
 
 def explained(df) -> str:
@@ -237,6 +238,42 @@ def test_hot_keys_are_found_in_a_table_that_compresses_to_nothing(spark, tmp_pat
     assert "SortMergeJoin" in plan
 
 
+@pytest.fixture
+def limit_of_100k(spark):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "100k")
+    yield
+    spark.conf.set(name, before)
+
+
+def test_growing_tables_are_not_built_in_the_driver(spark, tmp_path, limit_of_100k):
+    """Files that compress to less than the broadcast limit, with many more bytes of rows."""
+    keys = spark.range(0, 20_000, 1, 1)
+    keys.selectExpr(
+        "id DIV 4 AS o_orderkey", "1L AS o_custkey", "'O' AS o_orderstatus", "1D AS o_totalprice",
+        "TIMESTAMP '1995-01-01' AS o_orderdate", "'1' AS o_orderpriority",
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(0, 20_000, 1, 1).selectExpr(
+        "id DIV 4 AS l_orderkey", "1L AS l_partkey", "1 AS l_linenumber", "1D AS l_quantity",
+        "1D AS l_extendedprice", "TIMESTAMP '1995-01-02' AS l_shipdate",
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    keys.selectExpr(
+        "id DIV 4 AS c_custkey", "'n' AS c_name", "1 AS c_nationkey", "1D AS c_acctbal",
+        "'m' AS c_mktsegment",
+    ).write.parquet(f"{tmp_path}/customer.parquet")
+    for shape in (source_shapes.crm_sales_details, source_shapes.crm_cust_info):
+        plan = explained(shape(spark, str(tmp_path)))
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    ranked_keys = spark.range(20_000).selectExpr("id DIV 2 AS v", "'x' AS w")
+    plan = explained(dense_key(ranked_keys, ["v"], "k", null_safe=False))
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_configure_leaves_the_broadcast_limit_alone(spark):
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "10485760b"
+
+
 @pytest.mark.parametrize("heavy_rows", [10**9, 5, 0], ids=["plain", "hot right", "all salted"])
 def test_left_join_keeps_every_match_and_every_left_row(spark, heavy_rows):
     left = [("hot", i) for i in range(4)] + [("one", 10), ("none", 11), (None, 12)]

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from sluiceway.operators import sized
+
 # Schemas already read from the files' footers, by path.
 _schemas: dict[str, T.StructType] = {}
 
@@ -27,6 +29,7 @@ def crm_cust_info(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey AS k", "o_custkey AS c", "CAST(o_orderdate AS DATE) AS d"
     )
     customers = _table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    customers = sized(customers, customers.count())
     return orders.join(customers, orders.c == customers.c_custkey).selectExpr(
         "CAST(CASE WHEN k % 97 = 1 THEN NULL ELSE c END AS INT) AS cst_id",
         "concat('AW', lpad(CAST(c AS STRING), 10, '0')) AS cst_key",
@@ -100,6 +103,7 @@ def crm_sales_details(spark: SparkSession, sf_dir: str) -> DataFrame:
                  WHEN o_orderkey % 47 = 0 THEN 20101301
                  ELSE {digits.format('o_orderdate')} END AS sls_order_dt""",
     )
+    orders = sized(orders, orders.count())
     return (
         lines.join(orders, lines.k == orders.o_orderkey)
         .selectExpr(
