@@ -399,17 +399,16 @@ def classes(df: DataFrame, text: str) -> DataFrame:
         with Scratch(spark, "near-duplicates-central") as own:
             central = _with_central(members, figures, own)
             links = _verified(central, texts, scratch, own, "central")
-        # Members of one class need not meet; where labels are not final, some do that need not.
-        found = alone if links.isEmpty() else components(links, scratch, passes=2)
+        # Members of one class need not meet.
+        found = alone if links.isEmpty() else components(links, scratch)
         with Scratch(spark, "near-duplicates-across") as own:
             full = distinct.select("id", F.struct("n", "bits_set", "bits", "codes").alias("own"))
             apart = _apart(members, found, full, own)
             if not apart.isEmpty():
                 more = _verified(_across(apart), texts, scratch, own, "across")
-                links = links.unionByName(more)
-        found = alone if links.isEmpty() else components(links, scratch)
-        result = found
-        return stage(result, "near-duplicate-classes")
+                if not more.isEmpty():
+                    found = components(more, scratch, None if links.isEmpty() else found)
+        return stage(found, "near-duplicate-classes")
     finally:
         scratch.release()
 

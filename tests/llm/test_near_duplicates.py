@@ -11,6 +11,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from sluiceway.llm import near_duplicates
+from sluiceway.llm.components import components
+from sluiceway.operators import Scratch
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -134,6 +136,56 @@ def _classes_by_all_pairs(texts):
     return [root(x) for x in range(len(texts))]
 
 
+def _smallest_of_components(links):
+    parent = {x: x for link in links for x in link}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        low, high = sorted((root(a), root(b)))
+        parent[high] = low
+    return {x: root(x) for x in parent}
+
+
+def test_components_by_contraction(spark):
+    """Chains, stars, cycles and random links, also where they come in two lots."""
+    rng = random.Random(6)
+    links = [(i, i + 1) for i in range(0, 60)] + [(100, i) for i in range(70, 130)]
+    links += [(200, 201), (201, 202), (202, 200), (300, 300)]
+    links += [(rng.randrange(400, 500), rng.randrange(400, 500)) for _ in range(70)]
+    rng.shuffle(links)
+    with Scratch(spark, "components") as scratch:
+
+        def found(rows, known=None):
+            return components(spark.createDataFrame(rows, "a long, b long"), scratch, known)
+
+        wanted = _smallest_of_components([(a, b) for a, b in links if a != b])
+        assert {r["id"]: r["class"] for r in found(links).collect()} == wanted
+        both = found(links[::2], found(links[1::2]))
+        assert sorted(map(tuple, both.select("id", "class").collect())) == sorted(wanted.items())
+
+
+def test_links_of_a_group_of_copies_are_joined_once(spark, monkeypatch):
+    """A group whose members are linked to several others leaves no link after one round."""
+    links = [(pivot, i) for pivot in range(5) for i in range(pivot + 1, 300)]
+    rows = []
+    with Scratch(spark, "components") as scratch:
+        stage = scratch.stage
+
+        def counted(df, label):
+            staged = stage(df, label)
+            rows.append((label, staged.count()))
+            return staged
+
+        monkeypatch.setattr(scratch, "stage", counted)
+        df = spark.createDataFrame(links, "a long, b long")
+        assert {r["class"] for r in components(df, scratch).collect()} == {0}
+    assert [n for label, n in rows if label == "edges"] == [len(links), 0]
+
+
 def test_classes_against_all_pairs(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").orderBy("doc_id").collect()
     texts = [r.text or "" for r in docs]
