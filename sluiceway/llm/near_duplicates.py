@@ -16,7 +16,9 @@ sketch that are still in different classes are compared with each other, so no l
 join two classes is left out, while a large group of copies costs one comparison per member.
 Pairs that cannot be similar, by their lengths or by ``BITS`` bits that their words set (a
 lower bound of the distance), are never formed, and those of the second step are first aligned
-on one byte per word, which can only come out nearer than the words.
+on one byte per word, which can only come out nearer than the words. Large sketches that share
+texts are taken as one group, so two texts meet once and not in every sketch they share, and only
+texts of similar lengths meet.
 
 Two texts of 500 words in which a share of the words is replaced at random agree on a sketch, and
 are thus found, with a probability of 0.9 at a similarity of 0.8, 0.96 at 0.82 and 0.99 from 0.85 on.
@@ -61,6 +63,10 @@ BLOCK = 512
 BLOCK_WORDS = 4_000_000
 #: Least similarity of a pair.
 SIMILARITY = 0.8
+# Lengths of a pair differ by less than this ratio, so they lie in one band or two neighbouring ones.
+_BAND = 1 / SIMILARITY + 1e-4
+# Block numbers of a band.
+_BAND_BLOCKS = 1 << 32
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _MAX_REMEMBERED = 300_000
@@ -308,10 +314,14 @@ def _may_be_alike(a: str, b: str) -> Column:
 
 @dataclass
 class _Block:
-    """Members of one sketch that are compared with each other: two blocks of them, or one twice."""
+    """Members of one group that are compared with each other: two blocks of them, or one twice.
 
-    sketch: int
+    A group is a sketch, or several (``merged``).
+    """
+
+    group: int
     twice: bool
+    merged: bool
     ids: list[bytes] = field(default_factory=list)
     classes: list[bytes] = field(default_factory=list)
     first: list[bool] = field(default_factory=list)
@@ -320,18 +330,20 @@ class _Block:
     bits: list[list[int]] = field(default_factory=list)
     codes: list[bytes] = field(default_factory=list)
     keys: list[list[int]] = field(default_factory=list)
+    gathered: list[list[int]] = field(default_factory=list)
 
     def pairs(self) -> Iterator[tuple[bytes, bytes]]:
         """Pairs of different classes that may be alike, by ``_may_be_alike`` and by their codes.
 
-        A pair that agrees on several sketches is formed at the one of smallest key.
+        A pair that agrees on several sketches is formed at the one of smallest key, or in the
+        merged group if one of them went into it.
         """
         n, bits_set = np.array(self.n), np.array(self.bits_set)
         bits = np.array(self.bits, np.int64).view(np.uint64)
         numbers = {c: i for i, c in enumerate(sorted(set(self.classes)))}
         classes = np.array([numbers[c] for c in self.classes])
         first, places = np.array(self.first), np.arange(len(n))
-        keys = list(map(set, self.keys))
+        keys, gathered = list(map(set, self.keys)), list(map(set, self.gathered))
         left, right = (places, places) if self.twice else (places[first], places[~first])
         for begin in range(0, len(left), _ROWS):
             rows = left[begin : begin + _ROWS]
@@ -346,7 +358,10 @@ class _Block:
             near &= np.maximum(bits_set[rows, None], bits_set[right]) - common <= limit
             for i, j in zip(*np.nonzero(near), strict=True):
                 x, y = rows[i], right[j]
-                here = min(keys[x] & keys[y]) == self.sketch
+                here = self.merged
+                if here == gathered[x].isdisjoint(gathered[y]):
+                    continue
+                here = here or min(keys[x] & keys[y]) == self.group
                 if here and codes_alike(self.codes[x], self.codes[y]):
                     yield tuple(sorted((self.ids[x], self.ids[y])))
 
@@ -467,42 +482,134 @@ def _with_central(members: DataFrame, figures: DataFrame, scratch: Scratch) -> D
     return both.where(_may_be_alike("own_a", "own_b")).select("a", "b")
 
 
-def _across(apart: DataFrame) -> DataFrame:
-    """All pairs of members of one sketch in different classes that may be alike.
+def _merged(apart: DataFrame) -> DataFrame | None:
+    """Members (id, group, gathered) of sketches that are taken together; None if none are.
 
-    A sketch's members are dealt into blocks of about ``BLOCK`` members or ``BLOCK_WORDS`` words,
-    and every two blocks meet in a group of their own, so no group grows with the sketch. What
-    is compared travels with the members, not with the pairs.
+    Texts around one long passage share many sketches. Sketches of more than ``BLOCK`` members
+    that are connected by common ones become one group if its pairs are no more than those of the
+    sketches one by one, counting a pair for every sketch. ``gathered`` are the member's sketches
+    in the group, ``group`` is the smallest of all its sketches.
     """
-    size = F.greatest(F.count("*") / BLOCK, F.sum("own.n") / BLOCK_WORDS)
-    blocks = apart.groupBy("key").agg(F.ceil(size).cast("int").alias("blocks"))
-    mine = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    met = apart.join(blocks, "key").select(
+    counted = apart.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > BLOCK)
+    large = stage(counted, "large-sketches")
+    if large.isEmpty():
+        return None
+    crowd = stage(
+        apart.select("key", "id")
+        .join(large, "key", "left_semi")
+        .groupBy("id")
+        .agg(F.min("key").alias("head"), F.collect_list("key").alias("gathered")),
+        "crowd",
+    )
+    links = crowd.select(F.col("head").alias("a"), F.explode("gathered").alias("b"))
+    links = stage(links.where("a != b").distinct(), "sketch-links")
+    if links.isEmpty():
+        return None
+    scratch = Scratch(apart.sparkSession, "near-duplicates-groups")
+    try:
+        found = components(links, scratch).select(
+            F.col("id").alias("head"), F.col("class").alias("group")
+        )
+        grouped = stage(crowd.join(found, "head").select("id", "group", "gathered"), "grouped")
+        pairs = F.col("size").cast("double") * F.col("size")
+        singly = large.join(found, large["key"] == found["head"]).groupBy("group").agg(
+            F.sum(pairs).alias("singly")
+        )
+        together = grouped.groupBy("group").agg(F.count("*").alias("size"))
+        fewer = together.join(singly, "group").where(pairs <= F.col("singly")).select("group")
+        return stage(grouped.join(fewer, "group", "left_semi"), "merged")
+    finally:
+        scratch.release()
+
+
+def _dealt(apart: DataFrame) -> DataFrame:
+    """Members in the groups in which they are compared: two blocks (``low``, ``high``) of a key."""
+    merged = _merged(apart)
+    none = F.array().cast("array<bigint>")
+    if merged is None:
+        placed = apart.select("*", none.alias("gathered"), F.lit(False).alias("merged"))
+    else:
+        gathered = F.coalesce("gathered", none)
+        inside = F.array_contains(gathered, F.col("key"))
+        placed = (
+            apart.join(merged, "id", "left")
+            # A member of several sketches of a group comes once.
+            .where(~inside | (F.col("key") == F.array_min(gathered)))
+            .select(
+                F.when(inside, F.col("group")).otherwise(F.col("key")).alias("key"),
+                "id",
+                "class",
+                "own",
+                gathered.alias("gathered"),
+                inside.alias("merged"),
+            )
+        )
+    band = F.floor(F.log(F.greatest(F.col("own.n"), F.lit(1))) / F.log(F.lit(_BAND)))
+    placed = placed.withColumn("band", band)
+
+    def size(members: Column, words: Column) -> Column:
+        return F.ceil(F.greatest(members / BLOCK, words / BLOCK_WORDS))
+
+    figures = F.count("*").alias("members"), F.sum("own.n").alias("words")
+    bands = placed.groupBy("key", "band").agg(*figures)
+    blocks = F.struct("band", size(F.col("members"), F.col("words")).alias("blocks"))
+    plans = bands.groupBy("key").agg(
+        (size(F.sum("members"), F.sum("words")) == 1).alias("one"),
+        F.collect_list(blocks).alias("bands"),
+    )
+    met = placed.join(plans, "key")
+    zero, single = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    whole = F.array(F.struct(zero.alias("band"), single.alias("blocks")))
+    met = met.withColumns(
+        {
+            "band": F.when(F.col("one"), zero).otherwise(F.col("band")),
+            "bands": F.when(F.col("one"), whole).otherwise(F.col("bands")),
+        }
+    )
+    own_blocks = F.filter("bands", lambda b: b["band"] == F.col("band"))[0]["blocks"]
+    near = F.filter("bands", lambda b: F.abs(b["band"] - F.col("band")) <= 1)
+    others = F.flatten(
+        F.transform(
+            near,
+            lambda b: F.transform(
+                F.sequence(zero, b["blocks"] - 1),
+                lambda k: b["band"] * _BAND_BLOCKS + k,
+            ),
+        )
+    )
+    met = met.select(
+        "*",
+        (F.col("band") * _BAND_BLOCKS + F.pmod(F.xxhash64("id"), own_blocks)).alias("block"),
+        F.explode(others).alias("other"),
+    )
+    return met.select(
         "key",
-        mine.alias("block"),
-        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"),
+        F.least("block", "other").alias("low"),
+        F.greatest("block", "other").alias("high"),
+        (F.col("block") <= F.col("other")).alias("first"),
+        "merged",
         "id",
         "class",
-        "own",
+        "own.n",
+        "own.bits_set",
+        "own.bits",
+        "own.codes",
+        "own.keys",
+        "gathered",
     )
+
+
+def _across(apart: DataFrame) -> DataFrame:
+    """All pairs of members of one sketch in different classes that may be alike.
+
+    The members of a sketch, or of several that are ``_merged``, are dealt by length: those of
+    one band of lengths into blocks of about ``BLOCK`` members or ``BLOCK_WORDS`` words, and every
+    two blocks of one band or of neighbouring ones meet in a group of their own, so no group grows
+    with the sketch. Texts of other bands cannot be alike. What is compared travels with the
+    members, not with the pairs.
+    """
     group = ("key", "low", "high")
-    dealt = (
-        met.select(
-            "key",
-            F.least("block", "other").alias("low"),
-            F.greatest("block", "other").alias("high"),
-            (F.col("block") <= F.col("other")).alias("first"),
-            "id",
-            "class",
-            "own.n",
-            "own.bits_set",
-            "own.bits",
-            "own.codes",
-            "own.keys",
-        )
-        .repartition(*group)
-        .sortWithinPartitions(*group)
-    )
+    dealt = _dealt(apart).repartition(*group).sortWithinPartitions(*group)
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -514,7 +621,7 @@ def _across(apart: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays(columns, schema=schema)
 
         for batch in batches:
-            for key, low, high, first, *member in zip(
+            for key, low, high, first, merged, *member in zip(
                 *(c.to_pylist() for c in batch.columns), strict=True
             ):
                 if (key, low, high) != current:
@@ -522,11 +629,11 @@ def _across(apart: DataFrame) -> DataFrame:
                         ready.append(pair)
                         if len(ready) >= 10_000:
                             yield sent()
-                    current, block = (key, low, high), _Block(key, low == high)
+                    current, block = (key, low, high), _Block(key, low == high, merged)
                 block.first.append(first)
                 columns = (
                     block.ids, block.classes, block.n, block.bits_set, block.bits, block.codes,
-                    block.keys,
+                    block.keys, block.gathered,
                 )
                 for column, value in zip(columns, member, strict=True):
                     column.append(value)

@@ -251,3 +251,46 @@ def test_keep_one_with_clashing_names_nulls_and_repeated_rows(spark):
         [(2, text + " more", 1), (None, None, 5), (9, "alone", None)], key=repr
     )
     assert near_duplicates.keep_one(df.limit(0), "_key", "text").count() == 0
+
+
+def _apart(spark, texts, keys_of):
+    """Members of sketches as ``_across`` takes them, each in a class of its own."""
+    rows = []
+    for i, words in enumerate(texts):
+        hashes = near_duplicates.word_hashes(words)
+        own = len(words), *near_duplicates.word_bits(hashes), near_duplicates.coded(hashes)
+        rows += [(key, bytes([i]), bytes([i]), (*own, keys_of(i))) for key in keys_of(i)]
+    kind = "struct<n:int,bits_set:int,bits:array<bigint>,codes:binary,keys:array<bigint>>"
+    return spark.createDataFrame(rows, f"key long, id binary, class binary, own {kind}")
+
+
+def test_large_sketches_with_common_texts_meet_once_and_by_length(spark, monkeypatch):
+    """Each text is dealt to few blocks, however many sketches it shares, and no pair is lost."""
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(130)]
+    texts = [
+        [rng.choice(base) if rng.random() < 0.05 else w for w in base[: 20 + 11 * (i % 10)]]
+        for i in range(60)
+    ]
+
+    def keys_of(i):
+        # Ten large sketches with common texts, a small one that some share besides, and a
+        # large one that shares no text with others of them.
+        if i >= 50:
+            return [90]
+        return [k for k in range(10) if (i + k) % 7] + ([-5] if i < 4 else [])
+
+    monkeypatch.setattr(near_duplicates, "BLOCK", 8)
+    apart = _apart(spark, texts, keys_of)
+    dealt = near_duplicates._dealt(apart)
+    # One by one the sketches' members meet all their blocks: 43 members, 6 blocks, ten times.
+    assert dealt.count() < 700
+    assert dealt.groupBy("key", "low", "high").count().agg(F.max("count")).head()[0] <= 40
+    got = sorted((r.a[0], r.b[0]) for r in near_duplicates._across(apart).collect())
+
+    monkeypatch.setattr(near_duplicates, "BLOCK", 1000)
+    plain = sorted((r.a[0], r.b[0]) for r in near_duplicates._across(apart).collect())
+    assert got == plain and len(plain) > 50
+    for a, b in itertools.combinations(range(60), 2):
+        if set(keys_of(a)) & set(keys_of(b)) and near_duplicates.alike(*map(" ".join, (texts[a], texts[b]))):
+            assert (a, b) in got
