@@ -65,7 +65,12 @@ def sized(side: DataFrame, rows: int) -> DataFrame:
     Its counted ``rows``, decoded, must be below the broadcast limit; the size of compressed
     files says nothing about that, and what is broadcast is built in the driver's memory.
     """
-    return side.hint("merge") if rows * _row_width(side.schema) > _broadcast_limit(side) else side
+    return side if fits_broadcast(side, rows) else side.hint("merge")
+
+
+def fits_broadcast(side: DataFrame, rows: int) -> bool:
+    """Whether ``rows`` rows of ``side``, decoded, are below the session's broadcast limit."""
+    return rows * _row_width(side.schema) <= _broadcast_limit(side)
 
 
 def _row_width(schema: StructType) -> int:

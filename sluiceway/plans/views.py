@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluiceway.functions import clip_text
-from sluiceway.operators import Scratch, row_key
+from sluiceway.operators import Scratch, fits_broadcast, row_key
 from sluiceway.operators.skew import HEAVY_ROWS
 from sluiceway.plans.concurrent import together
 from sluiceway.plans.gold import (
@@ -116,7 +116,7 @@ _CATALOG_VIEWS = {
     "dim_customers": "SELECT * FROM `{database}`.customers_keyed",
     "dim_products": "SELECT * FROM `{database}`.products_keyed",
     "fact_sales": """
-        SELECT s.sls_ord_num AS order_number, p.product_key, c.customer_key,
+        SELECT {hint}s.sls_ord_num AS order_number, p.product_key, c.customer_key,
                s.sls_order_dt AS order_date, s.sls_ship_dt AS ship_date, s.sls_due_dt AS due_date,
                s.sls_sales AS sales_amount, s.sls_quantity AS quantity, s.sls_price AS price
         FROM `{database}`.sales_cleaned s
@@ -125,6 +125,26 @@ _CATALOG_VIEWS = {
 }
 
 
+# Alias of each key table in the fact view, and the columns that a lookup takes.
+_LOOKUPS = {
+    "p": ("products_keyed", ("product_number", "product_key")),
+    "c": ("customers_keyed", ("customer_id", "customer_key")),
+}
+
+
+def _lookup_hint(spark: SparkSession, database: str) -> str:
+    """Hint for the fact view that keeps key tables too large for it from being broadcast.
+
+    The planner goes by the size of compressed files; here the rows are counted, as in ``sized``.
+    """
+    large = []
+    for alias, (table, columns) in _LOOKUPS.items():
+        keys = spark.table(f"`{database}`.`{table}`").select(*columns)
+        if not fits_broadcast(keys, keys.count()):
+            large.append(alias)
+    return f"/*+ MERGE({', '.join(large)}) */ " if large else ""
+
+
 def create_catalog_views(
     silver: Mapping[str, DataFrame], database: str, location: str | None = None
 ) -> None:
@@ -153,6 +173,7 @@ def create_catalog_views(
             if not spark.catalog.tableExists(f"`{database}`.`{table}`"):
                 create_table(spark, database, table, df.schema)
             refresh_catalog_table(df, database, table)
+    hint = _lookup_hint(spark, database)
     for view, body in _CATALOG_VIEWS.items():
-        statement = body.format(database=database)
+        statement = body.format(database=database, hint=hint)
         spark.sql(f"CREATE OR REPLACE VIEW `{database}`.`{view}` AS {statement}")

@@ -3,7 +3,7 @@ from __future__ import annotations
 from conftest import BATCH_TS
 
 from sluiceway.operators import release_scratch
-from sluiceway.plans import pipeline
+from sluiceway.plans import pipeline, views
 from sluiceway.schemas import SOURCE_FILES
 from sluiceway.sources.bronze import FileSource
 
@@ -102,3 +102,26 @@ def test_warehouse_with_declared_columns_only(spark, tmp_path):
     pipeline.load_warehouse(lake, columns={"dim_customer": ["customer_key", "country"]})
     assert lake.read("warehouse", "dim_customer").columns == ["customer_key", "country"]
     assert len(lake.read("warehouse", "dim_product").columns) > 5
+
+
+def test_catalog_fact_view_does_not_build_large_key_tables_in_the_driver(spark, tmp_path):
+    """Key tables whose counted rows exceed the broadcast limit are merged, small ones are not."""
+    database, limit = "large_keys", "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{tmp_path}/keys'")
+    spark.range(20_000).selectExpr(
+        "CAST(id DIV 400 AS STRING) AS product_number", "id DIV 400 AS product_key"
+    ).write.saveAsTable(f"{database}.products_keyed")
+    spark.range(5).selectExpr("id AS customer_id", "id AS customer_key").write.saveAsTable(
+        f"{database}.customers_keyed"
+    )
+    try:
+        spark.conf.set(limit, "100k")
+        assert views._lookup_hint(spark, database) == "/*+ MERGE(p) */ "
+        spark.conf.set(limit, "-1")
+        assert views._lookup_hint(spark, database) == "/*+ MERGE(p, c) */ "
+        spark.conf.set(limit, "100m")
+        assert views._lookup_hint(spark, database) == ""
+    finally:
+        spark.conf.set(limit, before)
+        spark.sql(f"DROP DATABASE {database} CASCADE")
