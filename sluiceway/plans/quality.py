@@ -161,9 +161,9 @@ def quality_report(
                 )
                 for to, field in parents
             ]
-            failing = failing.join(
-                reduce(DataFrame.unionByName, values).distinct(), ["parent", "known"], "left_anti"
-            )
+            # Merged, not broadcast: they are already dealt by value, and grow with the parents.
+            known = reduce(DataFrame.unionByName, values).distinct().hint("merge")
+            failing = failing.join(known, ["parent", "known"], "left_anti")
         report = report.unionByName(failing.select(*report.columns))
     summed = report.groupBy("table_name", "test", "column_name").agg(
         F.sum("failures").alias("failures")

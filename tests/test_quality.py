@@ -96,3 +96,14 @@ def test_write_measured_counts_in_the_same_pass(spark, tmp_path):
 def test_table_metrics(spark, rows_of):
     out = table_metrics({"a": spark.range(3), "b": spark.range(0)})
     assert rows_of(out) == [("a", 3, "id:bigint"), ("b", 0, "id:bigint")]
+
+
+def test_referenced_keys_are_not_built_in_the_driver(spark):
+    """The parents' keys grow; by the bytes the planner expects they would be broadcast."""
+    child = spark.range(50).selectExpr("id AS k", "id % 40 AS p")
+    parent = spark.range(30).selectExpr("id AS p")
+    checks = {"child": (quality.Relationship("p", "parent", "p"),)}
+    report = quality.quality_report({"child": child, "parent": parent}, checks)
+    assert [r.failures for r in report.collect()] == [10]
+    plan = report._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert "LeftAnti" in plan and "BroadcastHashJoin" not in plan
