@@ -95,11 +95,12 @@ def read_checked(
     else:
         lines = spark.read.options(**_LINE_OPTIONS).schema("line string").csv(path)
         ddl = ", ".join(f"`{name}` STRING" for name in parsed.names)
-        cut = F.from_csv("line", ddl, options)
+        # Through a generator, as a filter is not pushed below one: as a plain column the cut
+        # would be repeated in the filter for every field that the reason looks at.
+        cut = F.inline(F.array(F.from_csv("line", ddl, options)))
         found = lines.select(
-            F.col("line").alias("_record"), F.col("_metadata.file_path").alias("_file"),
-            cut.alias("_cut"),
-        ).select("_record", "_file", "_cut.*")
+            F.col("line").alias("_record"), F.col("_metadata.file_path").alias("_file"), cut
+        )
         quotes = F.col("_record")
     odd = F.length(F.regexp_replace(quotes, '[^"]', "")) % 2 == 1
     unfit = [

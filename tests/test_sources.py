@@ -235,6 +235,14 @@ def test_values_that_do_not_convert_are_named(spark, tmp_path, rows_of):
     ]
 
 
+def test_the_rejects_cut_each_line_once(spark, tmp_path):
+    (tmp_path / "prd.csv").write_bytes(PRODUCT_FILE.encode())
+    read = read_checked(spark, str(tmp_path / "prd.csv"), BRONZE["crm_prd_info"])
+    for frame in (read.rows, read.rejects):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_csv(") == 1
+
+
 def test_line_ends_within_values(spark, tmp_path, rows_of):
     text = b'ID,CAT,SUBCAT,MAINTENANCE\n1,"two\nlines","Yes\r",z\n2,x\n'
     (tmp_path / "f.csv").write_bytes(text)
